@@ -19,9 +19,10 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from tokenizers import pre_tokenizers
 
-from .common import small_batches, table
+from .common import python_ready, table
 
 CACHED, LONGEST_CACHED = 1_000_000, 64
 LIMIT = 1024
@@ -147,7 +148,7 @@ def counter(path: str) -> Counter:
 
 
 def count_udf(path: str):
-    @F.arrow_udf("long")
+    @F.arrow_udf(T.LongType())
     def counts(texts: pa.Array) -> pa.Array:
         c = counter(path)
         return pa.array([c.count(x) for x in texts.to_pylist()], pa.int64())
@@ -161,7 +162,7 @@ def count_tokens(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: s
     The vocabulary file must lie at `path` on every machine. Null counts as the empty text: no bytes, no tokens. An
     id may be null or repeated; other columns are not read. An empty table gives an empty result. There is no shuffle.
     """
-    small_batches(docs.sparkSession)
+    python_ready(docs.sparkSession)
     text = docs.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     n = text.select("doc_id", F.octet_length("text").cast("long").alias("n_bytes"), count_udf(path)("text").alias("n_tokens"))
     return n.withColumn("over_limit", F.col("n_tokens") > limit)

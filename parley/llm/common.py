@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
+from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -45,9 +47,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def small_batches(spark: SparkSession) -> None:
-    """Arrow batches of at most 16 MB, so that batches of long texts stay small in the Python workers."""
+def python_ready(spark: SparkSession) -> None:
+    """Arrow batches of at most 16 MB, so that batches of long texts stay small in the Python workers, which also get
+    this package's folder on their path (on a cluster it is installed or shipped with --py-files)."""
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(16 << 20))
+    env, root = spark.sparkContext.environment, str(Path(__file__).parents[2])
+    if root not in env.get("PYTHONPATH", "").split(os.pathsep):
+        env["PYTHONPATH"] = os.pathsep.join(filter(None, [root, env.get("PYTHONPATH")]))
 
 
 def hash128(*cols: Column) -> list[Column]:

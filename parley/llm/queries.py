@@ -1,9 +1,11 @@
 """The queries of this subpackage, and the SQL that gives the same rows where SQL can."""
 
-from . import bpe, line_dedup
+from . import bpe, licenses, line_dedup, simhash
 
 QUERIES = {
     "op1_token_counts": bpe.op1_token_counts,
+    "op5_license_scan": licenses.op5_license_scan,
     "op7_line_dedup": line_dedup.op7_line_dedup,
+    "op9_simhash_dedup": simhash.op9_simhash_dedup,
 }
-ORACLE_SQL = {"op7_line_dedup": line_dedup.SQL}
+ORACLE_SQL = {"op5_license_scan": licenses.SQL, "op7_line_dedup": line_dedup.SQL}
