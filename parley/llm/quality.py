@@ -27,7 +27,7 @@ from .common import Workspace, hash128, python_ready, table
 
 SAMPLE, FEATURES, BUCKETS = 16_384, 4_096, 1 << 20
 Z_LEAST, ROUNDS, RATE, SHRINK = 4.0, 300, 0.1, 1e-5
-CUT = 0.8
+CUT = 0.7
 GRADES = 3
 CACHED, LONGEST_CACHED = 400_000, 64
 

@@ -1,6 +1,6 @@
 """The queries of this subpackage, and the SQL that gives the same rows where SQL can."""
 
-from . import bpe, licenses, line_dedup, pieces, quality, simhash
+from . import bpe, licenses, line_dedup, mixing, pieces, quality, simhash
 
 QUERIES = {
     "op1_token_counts": bpe.op1_token_counts,
@@ -9,5 +9,6 @@ QUERIES = {
     "op5_license_scan": licenses.op5_license_scan,
     "op7_line_dedup": line_dedup.op7_line_dedup,
     "op9_simhash_dedup": simhash.op9_simhash_dedup,
+    "op10_source_mixing": mixing.op10_source_mixing,
 }
 ORACLE_SQL = {"op5_license_scan": licenses.SQL, "op7_line_dedup": line_dedup.SQL}
