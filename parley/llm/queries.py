@@ -1,11 +1,12 @@
 """The queries of this subpackage, and the SQL that gives the same rows where SQL can."""
 
-from . import bpe, licenses, line_dedup, mixing, pieces, quality, simhash
+from . import bpe, licenses, line_dedup, mixing, phrases, pieces, quality, simhash
 
 QUERIES = {
     "op1_token_counts": bpe.op1_token_counts,
     "op2_quality_classifier": quality.op2_quality_classifier,
     "op3_sentencepiece": pieces.op3_sentencepiece,
+    "op4_substring_dedup": phrases.op4_substring_dedup,
     "op5_license_scan": licenses.op5_license_scan,
     "op7_line_dedup": line_dedup.op7_line_dedup,
     "op9_simhash_dedup": simhash.op9_simhash_dedup,
