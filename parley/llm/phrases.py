@@ -109,24 +109,19 @@ class Block:
                 ok[a : b - WINDOW + 1] = True
         return ok
 
-    def names(self) -> np.ndarray:
-        shingles = rolled(self.hashes, SHINGLE, MULTIPLIERS[0])
-        return sliding(np.minimum, shingles, WINDOW - SHINGLE + 1) if len(shingles) >= WINDOW - SHINGLE + 1 else np.zeros(0, np.uint64)
+    def shingles(self) -> np.ndarray:
+        return rolled(self.hashes, SHINGLE, MULTIPLIERS[0])
+
+    def names(self, shingles: np.ndarray) -> np.ndarray:
+        size = WINDOW - SHINGLE + 1
+        return sliding(np.minimum, shingles, size) if len(shingles) >= size else np.zeros(0, np.uint64)
 
     def anchors(self) -> tuple[np.ndarray, np.ndarray]:
-        """Names in the block, and whether the shingle of that hash occurs at least twice in it."""
-        ok = self.windows()
-        names = self.names()
-        if not ok.any():
-            return np.zeros(0, np.uint64), np.zeros(0, bool)
-        # a run of windows with one name is one shingle, unless it is longer than a shingle can serve
-        begins = ok & np.concatenate([[True], (names[1:] != names[:-1]) | ~ok[:-1]])
-        at = np.flatnonzero(begins)
-        owner = np.cumsum(begins) - 1
-        length = np.bincount(owner[ok], minlength=len(at))
-        values, inverse = np.unique(names[at], return_inverse=True)
-        occurs = np.bincount(inverse, 1 + (length > WINDOW - SHINGLE + 1), len(values))
-        return values, occurs > 1
+        """Names of the block's windows, and whether a shingle of that hash stands in two places of it."""
+        shingles = self.shingles()
+        values = np.unique(self.names(shingles)[self.windows()])
+        at = np.searchsorted(values, shingles[member(shingles, values)])
+        return values, np.bincount(at, minlength=len(values)) > 1
 
 
 def member(values: np.ndarray, among: np.ndarray) -> np.ndarray:
@@ -213,7 +208,7 @@ def windows_of(buckets: int):
         if not docs.num_rows or not names.num_rows:
             return in_buckets(0, empty, empty.astype(np.uint32), empty.astype(bool), buckets)
         block = Block(docs.column("payload"))
-        likely = np.flatnonzero(block.windows() & member(block.names(), gathered(names.column("found"))))
+        likely = np.flatnonzero(block.windows() & member(block.names(block.shingles()), gathered(names.column("found"))))
         first, second = (rolled(block.hashes, WINDOW, m)[likely] for m in MULTIPLIERS)
         values, at, n = np.unique(first, return_index=True, return_counts=True)
         return in_buckets(docs.column("block")[0].as_py(), values, (second[at] >> np.uint64(32)).astype(np.uint32), n > 1, buckets)
