@@ -30,7 +30,7 @@ from .common import Workspace, python_ready, table
 SPACE = "▁"
 WORD = re.compile(f"{SPACE}+[^{SPACE}]*|[^{SPACE}]+")
 CHUNK, GIANT = 16_384, 32_768
-CACHED, LONGEST_CACHED = 1_000_000, 64
+CACHED, FITS, LONGEST_CACHED = 400_000, 200_000, 48
 NO = -np.inf
 FREE = (0, 0)
 
@@ -108,7 +108,7 @@ class Model:
         if not self.bpe or not a:
             return True
         if (ok := self.fits.get((a, b))) is None:
-            if len(self.fits) >= CACHED:
+            if len(self.fits) >= FITS:
                 self.fits.clear()
             ok = self.fits[a, b] = self.merge(a + b) == [a, b] if SPACE * 2 in a + b else self.stays_apart(a, b)
         return ok
@@ -359,8 +359,12 @@ def encode_udf(path: str):
 def decode_udf(path: str):
     @F.arrow_udf(T.StringType())
     def decoded(ids: pa.Array) -> pa.Array:
-        m = model(path)
-        return pa.array([m.decode(x or ()) for x in ids.to_pylist()], pa.string())
+        m, flat, at = model(path), ids.flatten().to_numpy(), 0
+        texts = []
+        for n in ids.value_lengths().fill_null(0).to_pylist():  # row by row: few numbers are Python objects at a time
+            texts.append(m.decode(flat[at : at + n].tolist()))
+            at += n
+        return pa.array(texts, pa.string())
 
     return decoded
 
