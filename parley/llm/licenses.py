@@ -7,7 +7,7 @@ notices. The known table has a fixed size, KNOWN below, so it is broadcast.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import UPPER, LOWER, table
@@ -70,32 +70,33 @@ SAME = [
     ("per cent", "percent"), ("https", "http"), ("version", "v"), ("v 3 0", "v 3"), ("v 2 0", "v 2"), ("v3 0", "v 3"), ("v3", "v 3"), ("v2", "v 2"),
 ]
 QUOTES, PLAIN = "‘’‚“”„–—‐‑", "''''''----"
-#: Lines that name owners, not terms; matched after lower-casing and the change of signs.
-OWNER = r"^[^a-z0-9]*(copyright [^a-z]*[0-9(]|copyright \(c\)|\(c\) |all rights reserved[^a-z0-9]*$)"
-NOT_WORD = r"[^a-z0-9\x{80}-\x{10FFFF}]+"
-
-
-def canonical_line(line: Column) -> Column:
-    """Words in lower case between single spaces, one space at either end; a single space for owner lines and blank ones."""
-    low = F.replace(F.translate(F.translate(line, QUOTES, PLAIN), UPPER, LOWER), F.lit("©"), F.lit("(c)"))
-    out = F.concat(F.lit(" "), F.trim(F.regexp_replace(low, NOT_WORD, " ")), F.lit(" "))
+#: Lines that name owners, not terms, after lower-casing and the change of signs; `^` and `$` are ends of lines.
+OWNER = r"^[^a-z0-9\n]*(copyright [^a-z\n]*[0-9(][^\n]*|copyright \(c\)[^\n]*|\(c\) [^\n]*|all rights reserved[^a-z0-9\n]*)$"
+OWNER_SIGNS = ("copyright ", "(c)", "all rights reserved")
+NOT_WORD = r"[^a-z0-9\n\x{80}-\x{10FFFF}]+"
+
+
+def canonical(rows: DataFrame, text: str) -> DataFrame:
+    """Replaces column `text` by `lines`, the lines as words in lower case between single spaces, with one at either
+    end, and `whole`, the words of all lines. Owner lines become blank. Each pass is a column of its own, made once."""
+    rest = [c for c in rows.columns if c != text]
+    low = F.translate(F.coalesce(F.col(text), F.lit("")), QUOTES + UPPER, PLAIN + LOWER)
+    rows = rows.select(*rest, F.concat(F.lit("\n"), F.replace(low, F.lit("©"), F.lit("(c)")), F.lit("\n")).alias("low"))
+    owned = F.contains("low", F.lit(OWNER_SIGNS[0])) | F.contains("low", F.lit(OWNER_SIGNS[1])) | F.contains("low", F.lit(OWNER_SIGNS[2]))
+    rows = rows.select(*rest, F.when(owned, F.regexp_replace("low", "(?md)" + OWNER, "")).otherwise(F.col("low")).alias("low"))
+    spaced = F.replace(F.regexp_replace("low", NOT_WORD, " "), F.lit("\n"), F.lit(" \n "))
+    out = F.replace(spaced, F.lit("  "), F.lit(" "))
     for was, now in SAME:
         out = F.replace(out, F.lit(f" {was} "), F.lit(f" {now} "))
-    return F.when(low.rlike(OWNER) | (F.trim(out) == ""), " ").otherwise(out)
-
-
-def canonical(text: Column) -> tuple[Column, Column]:
-    """The lines in canonical form, owner and blank ones left out, and the whole text in canonical form."""
-    lines = F.filter(F.transform(F.split(text, "\n", -1), canonical_line), lambda x: x != " ")
-    return lines, F.array_join(F.transform(lines, lambda x: F.trim(x)), " ")
+    rows = rows.select(*rest, out.alias("out"))
+    return rows.select(*rest, F.split("out", "\n", -1).alias("lines"), F.trim(F.replace("out", F.lit("\n "), F.lit(""))).alias("whole"))
 
 
 def known_licenses(spark) -> DataFrame:
     """`digest, license_id, line`: of KNOWN; `line` is the canonical line of notices of one line, else null."""
-    known = spark.createDataFrame(KNOWN, "license_id string, known string")
-    lines, whole = canonical(F.col("known"))
-    known = known.select("license_id", lines.alias("lines"), whole.alias("whole"))
-    return known.select(F.sha2("whole", 256).alias("digest"), "license_id", F.when(F.size("lines") == 1, F.col("lines")[0]).alias("line")).distinct()
+    known = canonical(spark.createDataFrame(KNOWN, "license_id string, known string"), "known")
+    lines = F.filter("lines", lambda x: x != " ")
+    return known.select(F.sha2("whole", 256).alias("digest"), "license_id", F.when(F.size(lines) == 1, lines[0]).alias("line")).distinct()
 
 
 def scan_licenses(docs: DataFrame, known: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -106,17 +107,16 @@ def scan_licenses(docs: DataFrame, known: DataFrame, id_col: str = "doc_id", tex
     and match nothing, as does a text of owner lines only. Ids may be null or repeated; other columns are not read.
     `known` must be small (here fewer than 100 rows); digests in it are distinct.
     """
-    lines, whole = canonical(F.coalesce(F.col(text_col), F.lit("")))
     # array_intersect and map lookups work on literals of the known notices: no rows are exploded
     notices = known.filter("line IS NOT NULL").agg(
         F.map_from_entries(F.collect_list(F.struct("line", "license_id"))).alias("notice_of")
     )
-    rows = docs.select(F.col(id_col).alias("doc_id"), lines.alias("lines"), whole.alias("whole")).join(F.broadcast(notices))
+    rows = canonical(docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")), "text").join(F.broadcast(notices))
     hit = F.array_intersect("lines", F.map_keys("notice_of"))
-    rows = rows.select(
+    rows = rows.select("doc_id", F.sha2("whole", 256).alias("text_digest"), hit.alias("hit"), "notice_of").select(
         "doc_id",
-        F.sha2("whole", 256).alias("text_digest"),
-        F.array_sort(F.array_distinct(F.transform(hit, lambda x: F.element_at("notice_of", x)))).alias("notice_ids"),
+        "text_digest",
+        F.array_sort(F.array_distinct(F.transform("hit", lambda x: F.element_at("notice_of", x)))).alias("notice_ids"),
     )
     texts = known.select(F.col("digest").alias("text_digest"), "license_id")
     return rows.join(F.broadcast(texts), "text_digest", "left").select("doc_id", "text_digest", "license_id", "notice_ids")
@@ -131,28 +131,23 @@ def quoted(s: str) -> str:
     return "'" + s.replace("'", "''") + "'"
 
 
-def sql_line(line: str) -> str:
-    low = f"replace(translate(translate({line}, {quoted(QUOTES)}, {quoted(PLAIN)}), '{UPPER}', '{LOWER}'), '©', '(c)')"
-    out = f"(' ' || trim(regexp_replace({low}, '{NOT_WORD}', ' ', 'g')) || ' ')"
+def sql_canonical(text: str) -> str:
+    low = f"(chr(10) || replace(translate(translate(coalesce({text}, ''), {quoted(QUOTES)}, {quoted(PLAIN)}), '{UPPER}', '{LOWER}'), '©', '(c)') || chr(10))"
+    out = f"replace(replace(regexp_replace(regexp_replace({low}, {quoted('(?m)' + OWNER)}, '', 'g'), '{NOT_WORD}', ' ', 'g'), chr(10), ' ' || chr(10) || ' '), '  ', ' ')"
     for was, now in SAME:
         out = f"replace({out}, ' {was} ', ' {now} ')"
-    return f"CASE WHEN regexp_matches({low}, {quoted(OWNER)}) OR trim({out}) = '' THEN ' ' ELSE {out} END"
+    return out
 
 
 SQL = f"""
 WITH known_texts(license_id, known) AS (VALUES {", ".join(f"({quoted(i)}, {quoted(t)})" for i, t in KNOWN)}),
-known_lines AS (
-  SELECT license_id, list_filter(list_transform(string_split(known, chr(10)), lambda l: {sql_line("l")}), lambda l: l <> ' ') AS lines
-  FROM known_texts),
+known_out AS (SELECT license_id, {sql_canonical("known")} AS out FROM known_texts),
+known_lines AS (SELECT license_id, out, list_filter(string_split(out, chr(10)), lambda l: l <> ' ') AS lines FROM known_out),
 known AS (
-  SELECT DISTINCT license_id, sha256(array_to_string(list_transform(lines, lambda l: trim(l)), ' ')) AS digest,
-         CASE WHEN len(lines) = 1 THEN lines[1] END AS line
+  SELECT DISTINCT license_id, sha256(trim(replace(out, chr(10) || ' ', ''))) AS digest, CASE WHEN len(lines) = 1 THEN lines[1] END AS line
   FROM known_lines),
-doc_lines AS (
-  SELECT row_number() OVER () AS r, doc_id,
-         list_filter(list_transform(string_split(coalesce(text, ''), chr(10)), lambda l: {sql_line("l")}), lambda l: l <> ' ') AS lines
-  FROM documents),
-digests AS (SELECT r, doc_id, lines, sha256(array_to_string(list_transform(lines, lambda l: trim(l)), ' ')) AS text_digest FROM doc_lines),
+doc_out AS (SELECT row_number() OVER () AS r, doc_id, {sql_canonical("text")} AS out FROM documents),
+digests AS (SELECT r, doc_id, string_split(out, chr(10)) AS lines, sha256(trim(replace(out, chr(10) || ' ', ''))) AS text_digest FROM doc_out),
 hits AS (
   SELECT r, string_agg(DISTINCT k.license_id, ',' ORDER BY k.license_id) AS ids
   FROM (SELECT r, unnest(lines) AS line FROM digests) d JOIN known k ON d.line = k.line GROUP BY r)
