@@ -9,6 +9,11 @@ from pyspark.sql import functions as F
 from ..config import PairConfig
 
 
+def exact(c):
+    """Nine places: what a sum of floats in another order may change doesn't decide at a threshold."""
+    return F.round(c, 9)
+
+
 def cutoffs(words: DataFrame, keys: list[str], cfg: PairConfig, strategy: str = "percentile", value: str = "score") -> DataFrame:
     """`cutoff` for each key: the percentile (or median) of scores, at least the floor; the floor without scores."""
     mid = F.percentile(value, F.lit(cfg.conf_percentile)) if strategy == "percentile" else F.median(value)
@@ -19,7 +24,7 @@ def confident(words: DataFrame, cfg: PairConfig, strategy: str = "percentile") -
     """Words without score, or with one of at least the speaker's cutoff less the grace."""
     keys = ["file_id", "speaker"]
     both = words.join(cutoffs(words, keys, cfg, strategy), keys)
-    return both.filter(F.col("score").isNull() | (F.col("score") >= F.col("cutoff") - cfg.conf_grace)).drop("cutoff")
+    return both.filter(F.col("score").isNull() | (exact(F.col("score")) >= exact(F.col("cutoff") - cfg.conf_grace))).drop("cutoff")
 
 
 def dominance(words: DataFrame, target: str) -> DataFrame:
@@ -37,12 +42,12 @@ def route(words: DataFrame, target: str, cfg: PairConfig) -> DataFrame:
 
 def prefilter(replies: DataFrame, cfg: PairConfig, length: str = "output_len", conf: str = "avg_score") -> DataFrame:
     long = F.col(length) >= cfg.min_words
-    return replies.filter(long | ((F.col(length) >= 1) & (F.coalesce(conf, F.lit(0.0)) >= cfg.prefilter_conf)))
+    return replies.filter(long | ((F.col(length) >= 1) & (exact(F.coalesce(conf, F.lit(0.0))) >= cfg.prefilter_conf)))
 
 
 def drop_reason(cfg: PairConfig):
     """length, confidence, quality: the first test that a pair fails, or null."""
-    n, avg, q = F.col("output_len"), F.col("avg_score"), F.col("quality_score")
+    n, avg, q = F.col("output_len"), exact(F.col("avg_score")), exact(F.col("quality_score"))
     short = ~((n >= cfg.min_words) | ((n >= 1) & (F.coalesce(avg, F.lit(0.0)) >= cfg.short_reply_min_conf)))
     unsure = F.lit(False) if not cfg.min_conf else avg.isNotNull() & (avg < cfg.min_conf)
     return F.when(short, "length").when(unsure, "confidence").when(q.isNull() | (q < cfg.min_quality), "quality")
@@ -60,7 +65,7 @@ def postfilter_counts(pairs: DataFrame, cfg: PairConfig, keys=()) -> DataFrame:
 
 def flag(pairs: DataFrame, cfg: PairConfig) -> DataFrame:
     """Pairs with `reasons`; advisory, nothing is removed. Needs `overlap_rate`."""
-    n_in, n_out, avg = F.col("input_len"), F.col("output_len"), F.col("avg_score")
+    n_in, n_out, avg = F.col("input_len"), F.col("output_len"), exact(F.col("avg_score"))
     reasons = F.array_compact(
         F.array(
             F.when(F.col("overlap_rate") >= cfg.flag_overlap, "high_overlap"),
@@ -76,16 +81,16 @@ def flagged_ids(flagged: DataFrame) -> DataFrame:
 
 
 def bucket(q):
-    return F.when(q >= 0.7, "clean").when(q >= 0.4, "borderline").otherwise("flagged")
+    return F.when(exact(q) >= 0.7, "clean").when(exact(q) >= 0.4, "borderline").otherwise("flagged")
 
 
 def sweep(pairs: DataFrame, configs: DataFrame) -> DataFrame:
     """Kept pairs for each row of `configs(cfg, min_words, min_conf, min_quality)`, a small table that is broadcast."""
     both = pairs.join(F.broadcast(configs))
-    ok = ((F.col("output_len") >= F.col("min_words")) | ((F.col("output_len") >= 1) & (F.coalesce("avg_score", F.lit(0.0)) >= 0.85))) & (
-        F.col("avg_score").isNull() | (F.col("avg_score") >= F.col("min_conf"))
+    ok = ((F.col("output_len") >= F.col("min_words")) | ((F.col("output_len") >= 1) & (exact(F.coalesce("avg_score", F.lit(0.0))) >= 0.85))) & (
+        F.col("avg_score").isNull() | (exact(F.col("avg_score")) >= F.col("min_conf"))
     )
-    ok = ok & F.coalesce(F.col("quality_score") >= F.col("min_quality"), F.lit(False))
+    ok = ok & F.coalesce(exact(F.col("quality_score")) >= F.col("min_quality"), F.lit(False))
     return both.groupBy("cfg").agg(F.count("*").alias("pairs"), F.count_if(ok).alias("kept"))
 
 

@@ -48,9 +48,14 @@ def merge_replies(pairs: DataFrame, gap: float) -> DataFrame:
     )
 
 
+def micros(ts):
+    """Microseconds since 1970 of a time without zone, whatever the session's zone."""
+    return F.timestamp_diff("MICROSECOND", F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"), F.col(ts).cast("timestamp_ntz"))
+
+
 def merge_events(events: DataFrame, hours: float) -> DataFrame:
     """`user_id, grp, n, first_ts, last_ts, total`: events of a user with at most so many hours between neighbours."""
     w = W.partitionBy("user_id").orderBy("ts", "event_id")
-    gap = F.unix_micros("ts") - F.unix_micros(F.lag("ts").over(w)) > int(hours * 3_600_000_000)
-    e = events.withColumn("new", F.coalesce(gap, F.lit(True)).cast("int")).withColumn("grp", F.sum("new").over(w.rowsBetween(W.unboundedPreceding, W.currentRow)))
+    gap = F.col("us") - F.lag("us").over(w) > int(hours * 3_600_000_000)
+    e = events.withColumn("us", micros("ts")).withColumn("new", F.coalesce(gap, F.lit(True)).cast("int")).withColumn("grp", F.sum("new").over(w.rowsBetween(W.unboundedPreceding, W.currentRow)))
     return e.groupBy("user_id", "grp").agg(F.count("*").alias("n"), F.min("ts").alias("first_ts"), F.max("ts").alias("last_ts"), F.sum("value").alias("total"))
