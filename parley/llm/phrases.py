@@ -9,8 +9,9 @@ run over the blocks:
 2. Confirmation. Windows with a repeated name send their own 96-bit hash; those that occur again anywhere are confirmed.
 3. Automata. The confirmed windows of a block, taken where they first occur in it, make up its recurring passages;
    an Aho-Corasick automaton is compiled from phrases of PHRASE words that follow each other in the passages (any window
-   holds a whole one), one automaton a block, and all documents of the block are streamed through it. A hit is extended
-   word by word within its passage; a run of at least WINDOW words is an occurrence, and its words are removed.
+   holds a whole one), one automaton a block, and all documents of the block are streamed through it. At a hit, the
+   windows around it that have a confirmed hash are compared word by word with the passage that hash comes from, and
+   extended within it; the words of such a run are removed.
 
 Hashes travel as sorted arrays, one for a block and a range of hashes, with at most two entries for a hash that a block
 holds any number of times: a passage that a third of all rows share is no larger than others.
@@ -20,7 +21,6 @@ from __future__ import annotations
 
 import hashlib
 import math
-from collections import defaultdict
 
 import ahocorasick
 import numpy as np
@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 
 from .common import python_ready, table
 
-WINDOW, SHINGLE, PHRASE = 35, 12, 18
+WINDOW, SHINGLE, PHRASE, REACH = 35, 12, 18, 256
 BLOCK, BUCKET = 8 << 20, 4_000_000
 CACHED, LONGEST_CACHED = 500_000, 64
 MULTIPLIERS = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)
@@ -230,39 +230,44 @@ def covered_words(block: Block, confirmed: np.ndarray) -> np.ndarray:
     places = np.flatnonzero(ok & member(windows, confirmed))
     if not len(places):
         return covered
-    first = np.zeros(len(windows), bool)
-    first[places[np.unique(windows[places], return_index=True)[1]]] = True
+    values, at = np.unique(windows[places], return_index=True)
+    origin = np.zeros(len(windows), np.int64)  # of a confirmed window: where its words first stand in the block
+    origin[places] = places[at][np.searchsorted(values, windows[places])]
+    likely, first = np.zeros(len(windows), bool), np.zeros(len(windows), bool)
+    likely[places], first[places[at]] = True, True
     doc_of = np.searchsorted(block.ends, np.arange(len(windows)), side="right")
     begins = first & np.concatenate([[True], ~first[:-1] | (doc_of[1:] != doc_of[:-1])])
     ends = first & np.concatenate([~first[1:] | (doc_of[1:] != doc_of[:-1]), [True]])
-    passages = zip(np.flatnonzero(begins).tolist(), (np.flatnonzero(ends) + WINDOW).tolist(), strict=True)
-    phrases: dict[str, list[tuple[int, int, int]]] = defaultdict(list)
-    for a, b in passages:
-        text = symbols(block.hashes[a:b])
-        for at in range(0, b - a - PHRASE + 1, PHRASE):
-            phrases[text[at : at + PHRASE]].append((a + at, a, b))
+    lows, highs = np.flatnonzero(begins), np.flatnonzero(ends) + WINDOW
     automaton = ahocorasick.Automaton()
-    for phrase, where in phrases.items():
-        automaton.add_word(phrase, where)
+    for low, high in zip(lows.tolist(), highs.tolist(), strict=True):
+        text = symbols(block.hashes[low:high])
+        for k in range(0, high - low - PHRASE + 1, PHRASE):
+            automaton.add_word(text[k : k + PHRASE], True)
     automaton.make_automaton()
-    hashes, reach = block.hashes, WINDOW - PHRASE
+    hashes = block.hashes
     for a, b in zip(block.starts.tolist(), block.ends.tolist(), strict=True):
         if b - a < WINDOW:
             continue
-        for end, where in automaton.iter(symbols(hashes[a:b])):
-            at = a + end + 1 - PHRASE
-            for place, low, high in where:
-                back = min(reach, at - a, place - low)
-                on = min(reach, b - at - PHRASE, high - place - PHRASE)
-                differ = hashes[at - back : at + PHRASE + on] != hashes[place - back : place + PHRASE + on]
-                if differ.any():
-                    odd = np.flatnonzero(differ) - back
-                    if ((odd >= 0) & (odd < PHRASE)).any():
+        for end, _ in automaton.iter(symbols(hashes[a:b])):
+            start = a + end + 1 - PHRASE
+            low, high = max(a, start - WINDOW + PHRASE), min(start, b - WINDOW) + 1
+            for w in (np.flatnonzero(likely[low:high]) + low).tolist():
+                if not likely[w]:
+                    continue
+                place = int(origin[w])
+                k = int(np.searchsorted(lows, place, side="right")) - 1
+                back = min(REACH, w - a, place - int(lows[k]))
+                on = min(REACH, b - w - WINDOW, int(highs[k]) - place - WINDOW)
+                differ = np.flatnonzero(hashes[w - back : w + WINDOW + on] != hashes[place - back : place + WINDOW + on]) - back
+                if len(differ):
+                    if ((differ >= 0) & (differ < WINDOW)).any():
+                        likely[w] = False  # another window of the same hash
                         continue
-                    back = min(back, -1 - odd[odd < 0].max()) if (odd < 0).any() else back
-                    on = min(on, odd[odd >= PHRASE].min() - PHRASE) if (odd >= PHRASE).any() else on
-                if back + PHRASE + on >= WINDOW:
-                    covered[at - back : at + PHRASE + on] = True
+                    back = min(back, -1 - int(differ[differ < 0].max(initial=-1 - back)))
+                    on = min(on, int(differ[differ >= WINDOW].min(initial=WINDOW + on)) - WINDOW)
+                covered[w - back : w + WINDOW + on] = True
+                likely[w - back : w + on + 1] = False  # done
     return covered
 
 
