@@ -144,10 +144,10 @@ WITH known_texts(license_id, known) AS (VALUES {", ".join(f"({quoted(i)}, {quote
 known_out AS (SELECT license_id, {sql_canonical("known")} AS out FROM known_texts),
 known_lines AS (SELECT license_id, out, list_filter(string_split(out, chr(10)), lambda l: l <> ' ') AS lines FROM known_out),
 known AS (
-  SELECT DISTINCT license_id, sha256(trim(replace(out, chr(10) || ' ', ''))) AS digest, CASE WHEN len(lines) = 1 THEN lines[1] END AS line
+  SELECT DISTINCT license_id, sha256(trim(replace(out, chr(10) || ' ', ''), ' ')) AS digest, CASE WHEN len(lines) = 1 THEN lines[1] END AS line
   FROM known_lines),
 doc_out AS (SELECT row_number() OVER () AS r, doc_id, {sql_canonical("text")} AS out FROM documents),
-digests AS (SELECT r, doc_id, string_split(out, chr(10)) AS lines, sha256(trim(replace(out, chr(10) || ' ', ''))) AS text_digest FROM doc_out),
+digests AS (SELECT r, doc_id, string_split(out, chr(10)) AS lines, sha256(trim(replace(out, chr(10) || ' ', ''), ' ')) AS text_digest FROM doc_out),
 hits AS (
   SELECT r, string_agg(DISTINCT k.license_id, ',' ORDER BY k.license_id) AS ids
   FROM (SELECT r, unnest(lines) AS line FROM digests) d JOIN known k ON d.line = k.line GROUP BY r)
