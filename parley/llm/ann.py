@@ -106,13 +106,21 @@ def take_in(blocks: int, beam: int, pool_size: int):
     return run
 
 
-def search(work: Workspace, graph: Graph, asked: DataFrame, hops: int = HOPS, beam: int = BEAM, pool_size: int = POOL) -> DataFrame:
-    """`asked(id)`, points of the graph -> `q, id, score`: near points by their codes, at most pool_size for each."""
+def search(work: Workspace, graph: Graph, asked: DataFrame, lengthened: bool = False, hops: int = HOPS, beam: int = BEAM, pool_size: int = POOL) -> DataFrame:
+    """`asked(id)`, points of the graph -> `q, id, score`: near points by their codes, at most pool_size for each.
+
+    If the points were lengthened to one norm, their own sims are not what is asked for: a query is then 0 in the last
+    place, starts from itself alone and goes on for longer.
+    """
     queries = work.write(graph.nodes.join(asked, "id", "left_semi"), "queries")
     near = queries.select("block", F.col("id").alias("q"), F.explode(F.arrays_zip("ids", "sims")).alias("l"))
-    pool = work.write(near.select("block", "q", F.col("l.ids").alias("id"), F.col("l.sims").alias("score"), F.lit(True).alias("open")), "pool0")
+    pool = near.select("block", "q", F.col("l.ids").alias("id"), F.col("l.sims").alias("score"), F.lit(True).alias("open"))
     codes = queries.select("block", "id", "code")
-    for hop in range(hops):
+    if lengthened:
+        pool = queries.select("block", F.col("id").alias("q"), "id", F.lit(0.0).cast("float").alias("score"), F.lit(True).alias("open"))
+        codes = queries.select("block", "id", F.expr("concat(substring(code, 1, length(code) - 1), X'00')").alias("code"))
+    pool = work.write(pool, "pool0")
+    for hop in range(hops * (3 if lengthened else 1)):
         requests = codes.groupBy("block").cogroup(pool.groupBy("block")).applyInArrow(arrow2(ask(graph.blocks, beam)), REQUESTS)
         found = graph.messages().groupBy("block").cogroup(requests.groupBy("block")).applyInArrow(arrow2(answer(graph.blocks, pool_size)), POOLS)
         pool = pool.groupBy("block").cogroup(found.groupBy("block")).applyInArrow(arrow2(take_in(graph.blocks, beam, pool_size)), POOLS)
@@ -137,12 +145,14 @@ def nearest(vectors: DataFrame, asked: DataFrame, top: int = TOP, k: int = K, ro
     good = work.write(usable(vectors, id_col, vector_col).dropDuplicates(["id"]), "good")
     classes = work.write(good.groupBy("v").agg(F.min("id").alias("id")), "classes")
     of = work.write(good.join(classes.withColumnRenamed("id", "point"), "v").select("id", "point"), "of")
-    longest = classes.agg(F.max(F.sqrt(dot(F.col("v"), F.col("v"))))).first()[0] or 1.0
-    graph = Graph(work, classes, k, top=longest, **({"leaf": leaf} if leaf else {}))
+    length = F.sqrt(dot(F.col("v"), F.col("v")))
+    shortest, longest = classes.agg(F.min(length), F.max(length)).first()
+    lengthened = bool(longest) and longest - shortest > 1e-3 * longest  # else inner products order as cosines do
+    graph = Graph(work, classes, k, top=longest if lengthened else 0.0, **({"leaf": leaf} if leaf else {}))
     graph.refine(rounds)
     asking = work.write(of.join(asked.select("id"), "id", "left_semi"), "asking")
     points = asking.select(F.col("point").alias("id")).distinct()
-    pool = search(work, graph, points)
+    pool = search(work, graph, points, lengthened)
     by_code = W.partitionBy("q").orderBy(F.desc("score"), "id")
     pairs = pool.withColumn("n", F.row_number().over(by_code)).filter(F.col("n") <= AGAIN).select("q", "id")
     pairs = pairs.unionAll(points.select(F.col("id").alias("q"), "id"))
