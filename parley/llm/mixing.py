@@ -39,6 +39,8 @@ def fit_domains(labelled: DataFrame) -> tuple[list[str], list[float], DataFrame]
     if len(sizes) > DOMAINS:
         raise ValueError(f"over {DOMAINS} domains")
     names, n = [r["domain"] for r in sizes], sum(r["count"] for r in sizes)
+    if not names:
+        return [], [], None
     seen = known.select("domain", F.explode(F.array_distinct(words(F.col("text")))).alias("w")).select("domain", bucket(F.col("w")).alias("bucket"))
     counts = seen.groupBy("bucket").agg(*[F.count_if(F.col("domain") == d).alias(f"c{k}") for k, d in enumerate(names)])
     counts = labelled.sparkSession.range(BUCKETS).select(F.col("id").cast("int").alias("bucket")).join(counts, "bucket", "left").na.fill(0)

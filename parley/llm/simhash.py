@@ -59,6 +59,8 @@ def radii(radius: int, segments: int) -> list[int]:
 
 def near_fingerprints(prints: DataFrame, radius: int = RADIUS, segments: int = SEGMENTS) -> DataFrame:
     """`prints(fp)`, distinct -> `(a, b)`: each pair within `radius` bits once, a < b."""
+    if segments < 2:
+        raise ValueError("at least two segments")
     width = BITS // segments
     low = (1 << width) - 1
     cut = [F.shiftrightunsigned("fp", width * i).bitwiseAND(F.lit(low)) for i in range(segments)]
