@@ -9,14 +9,15 @@ from pyspark.sql import functions as F
 from ..config import PairConfig
 from ..functions.scalar import word_count
 
-BY_FILE = W.partitionBy("file_id").orderBy("gpos")
+def by_file():
+    return W.partitionBy("file_id").orderBy("gpos")
 
 
 def split_sentences(words: DataFrame) -> DataFrame:
     """Adds `sentence`: it ends after a word that ends with . ? or !, whatever the segment; the rest is one too."""
-    ended = F.lag("text").over(BY_FILE).rlike(r"[.?!]$")
+    ended = F.lag("text").over(by_file()).rlike(r"[.?!]$")
     w = words.withColumn("e", F.coalesce(ended, F.lit(False)).cast("int"))
-    return w.withColumn("sentence", F.sum("e").over(BY_FILE.rowsBetween(W.unboundedPreceding, W.currentRow))).drop("e")
+    return w.withColumn("sentence", F.sum("e").over(by_file().rowsBetween(W.unboundedPreceding, W.currentRow))).drop("e")
 
 
 def is_question(text, cfg: PairConfig):

@@ -10,13 +10,14 @@ from ..config import PairConfig
 from ..functions.scalar import last_words, word_count
 from .gates import first_in_file, prefilter
 
-BY_FILE = W.partitionBy("file_id").orderBy("gpos")
+def by_file():
+    return W.partitionBy("file_id").orderBy("gpos")
 
 
 def runs(words: DataFrame) -> DataFrame:
     """Adds `run`: a number that grows where the speaker changes, in file order."""
-    changed = (~F.col("speaker").eqNullSafe(F.lag("speaker").over(BY_FILE))) | (F.row_number().over(BY_FILE) == 1)
-    return words.withColumn("changed", changed.cast("int")).withColumn("run", F.sum("changed").over(BY_FILE.rowsBetween(W.unboundedPreceding, W.currentRow))).drop("changed")
+    changed = (~F.col("speaker").eqNullSafe(F.lag("speaker").over(by_file()))) | (F.row_number().over(by_file()) == 1)
+    return words.withColumn("changed", changed.cast("int")).withColumn("run", F.sum("changed").over(by_file().rowsBetween(W.unboundedPreceding, W.currentRow))).drop("changed")
 
 
 def speaker_runs(words: DataFrame) -> DataFrame:

@@ -122,7 +122,7 @@ def test_identify_needs_the_threshold(spark):
 
 
 def test_energy_vad_frames(spark):
-    f = spark.createDataFrame([(1, i, e) for i, e in enumerate([0, 0, 9, 9, 0, 9])], "file_id long, idx long, energy double")
+    f = spark.createDataFrame([(1, i, e) for i, e in enumerate([0.0, 0.0, 9.0, 9.0, 0.0, 9.0])], "file_id long, idx long, energy double")
     got = sorted((round(r["start"], 3), round(r["end"], 3)) for r in intervals.energy_vad(f).collect())
     assert got == [(0.06, 0.12), (0.15, 0.18)]
 
