@@ -14,7 +14,9 @@ the words between such places are solved once and remembered, and short document
 from __future__ import annotations
 
 import re
+import sys
 import uuid
+from array import array
 from functools import cache
 
 import numpy as np
@@ -30,8 +32,9 @@ from .common import Workspace, python_ready, table
 SPACE = "▁"
 WORD = re.compile(f"{SPACE}+[^{SPACE}]*|[^{SPACE}]+")
 CHUNK, GIANT = 16_384, 32_768
-CACHED, FITS, LONGEST_CACHED = 400_000, 200_000, 48
+CACHED, FITS, LONGEST_CACHED = 700_000, 200_000, 48
 NO = -np.inf
+CLOSING = {*".,;:!?"}
 FREE = (0, 0)
 
 
@@ -60,11 +63,15 @@ class Model:
         self.steps, self.halves = {*self.ids}, {}
         if self.bpe:
             self.note_merges()
-        #: By the first two characters, the length of the longest piece.
-        self.reach: dict[str, int] = {}
+        #: By the first three characters, the lengths of the pieces that begin so.
+        self.sizes: dict[str, list[int]] = {}
         for t in self.steps:
-            if len(t) > 1:
-                self.reach[t[:2]] = max(len(t), self.reach.get(t[:2], 0))
+            if len(t) > 2:
+                self.sizes.setdefault(t[:3], []).append(len(t))
+        for lengths in self.sizes.values():
+            lengths.sort()
+        #: A line's end that is in no piece stands alone, so words can be cut there.
+        self.line_end = self.coded(["\n"]) if not any("\n" in t for t in self.ids) else None
         self.words = Solved(self)
         self.spaced = Solved(self, SPACE)
         #: What each identifier is in a decoded text; bytes beyond ASCII stand as surrogates until all are there.
@@ -279,22 +286,29 @@ class Model:
                 out.append(i)
             else:
                 out.extend(self.bytes[b] for b in t.encode())
-        return np.array(out, np.int32).tobytes()
+        return array("i", out).tobytes()
 
     def solve(self, word: str) -> bytes:
         """A text by itself, as one chunk."""
         if not self.bpe:
             return self.path(word, 0, "", len(word), (len(word), None)) if word else b""
         # as walk() with a single way in: at most one piece can end at each place
-        n, steps, follows, reach = len(word), self.steps, self.follows, self.reach
+        n, steps, fits, follows, sizes = len(word), self.steps, self.fits, self.follows, self.sizes
         ending = [""] * (n + 1)
         for place in range(n):
             last = ending[place]
-            if not last and place:
+            if place and not last:
                 continue
-            for end in range(place + 1, min(n, place + (reach.get(word[place : place + 2]) or 1)) + 1):
-                if not ending[end] and (end == place + 1 or word[place:end] in steps) and follows(last, word[place:end]):
-                    ending[end] = word[place:end]
+            for size in (1, 2, *sizes.get(word[place : place + 3], ())):
+                end = place + size
+                if end > n:
+                    break
+                if not ending[end]:
+                    t = word[place:end]
+                    if size == 1 or t in steps:
+                        ok = fits.get((last, t))
+                        if follows(last, t) if ok is None else ok:
+                            ending[end] = t
         parts = []
         while n:
             parts.append(ending[n])
@@ -327,7 +341,7 @@ class Solved(dict):
 
     def __missing__(self, word: str) -> bytes:
         if (ids := self.old.get(word)) is None:
-            ids = self.model.solve(self.before + word)
+            ids = self.joined(word) or self.model.solve(self.before + word)
         if len(word) <= LONGEST_CACHED:
             if len(self) >= CACHED // 2:
                 self.old = dict(self)
@@ -336,6 +350,22 @@ class Solved(dict):
         return ids
 
 
+    def joined(self, word: str) -> bytes | None:
+        """Of the parts of a word with line ends, or that a sign closes: the encodings of parts are that of the whole if
+        the pieces that meet may follow each other."""
+        m = self.model
+        if m.line_end and "\n" in word:
+            first, *rest = word.split("\n")
+            ids = self[first] if first or self.before else b""
+            return ids + b"".join(m.line_end + (m.words[part] if part else b"") for part in rest)
+        if m.bpe and word[-1:] in CLOSING and len(word) > 1:
+            ids = self[word[:-1]]
+            last = m.names[int.from_bytes(ids[-4:], sys.byteorder)]
+            if last in m.ids and word[-1] in m.ids and m.follows(last, word[-1]):
+                return ids + m.coded([word[-1]])
+        return None
+
+
 @cache
 def model(source: str) -> Model:
     return Model(source)
