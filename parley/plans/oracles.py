@@ -177,7 +177,7 @@ SELECT file_id, round(duration, 9) AS duration, coalesce(n_pairs, 0) AS n_pairs,
     "energy_vad": """WITH f AS (SELECT user_id AS file_id, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) - 1 AS idx, value AS energy FROM events),
 st AS (SELECT file_id, avg(energy) + 0.3 * stddev_pop(energy) AS lim FROM f GROUP BY file_id),
 x AS (SELECT f.*, idx - row_number() OVER (PARTITION BY file_id ORDER BY idx) AS run FROM f JOIN st USING (file_id) WHERE energy > lim)
-SELECT file_id, round(min(idx) * 0.03, 9) AS start, round((max(idx) + 1) * 0.03, 9) AS "end" FROM x GROUP BY file_id, run""",
+SELECT file_id, round(min(idx) * 0.03::DOUBLE, 9) AS start, round((max(idx) + 1) * 0.03::DOUBLE, 9) AS "end" FROM x GROUP BY file_id, run""",
     "legacy_score_pair": f"""WITH {WORDS}, {pairs()}, h AS (SELECT p.file_id, p.seg_idx, avg(w.score) AS c FROM pairs p JOIN words w ON w.file_id = p.file_id AND w.speaker = '{TARGET}' AND contains(p.output, w.text) GROUP BY ALL)
 SELECT file_id, seg_idx, round(coalesce(c, 0), 9) AS confidence, round(CASE WHEN c IS NULL THEN 0 ELSE least(coalesce(input_len::DOUBLE / nullif(output_len, 0), 0), 4) END, 9) AS ratio,
        CASE WHEN c IS NOT NULL AND regexp_matches(trim(output), '[.?!]$') THEN 1.0 ELSE 0.0 END::DOUBLE AS complete,
