@@ -171,8 +171,8 @@ p AS (SELECT file_id, count(*) AS n_pairs, sum(tend - tstart) AS t, avg(avg_scor
 SELECT file_id, round(duration, 9) AS duration, coalesce(n_pairs, 0) AS n_pairs, round(coalesce(t, 0), 9) AS target_seconds, round(a, 9) AS avg_conf, coalesce(z, 0)::BIGINT AS empty_inputs,
        round(coalesce(t * 100 / duration, 0), 9) AS target_share, round(coalesce(z::DOUBLE * 100 / n_pairs, 0), 9) AS empty_share FROM fd LEFT JOIN p USING (file_id)""",
     "placeholders": f"WITH {WORDS}, {pairs()}, f AS (SELECT *, row_number() OVER (PARTITION BY file_id ORDER BY seg_idx) = 1 AND input_len = 0 AS fu FROM pairs) SELECT file_id, seg_idx, CASE WHEN trim(input) = '' THEN CASE WHEN fu THEN '[NO PROMPT]' ELSE '[CONTEXT CONTINUES]' END ELSE input END AS input, input_len FROM f",
-    "speaker_centroid": f"WITH {VECTORS} SELECT label, i - 1 AS d, round(y, 9) AS x FROM cen",
-    "identify_target": f"WITH {VECTORS}, r AS (SELECT label, sum(c.y * r.y) / (sqrt(sum(c.y * c.y)) * sqrt(sum(r.y * r.y))) AS sim FROM cen c JOIN ref r USING (i) GROUP BY label) SELECT label, round(sim, 9) AS similarity, row_number() OVER (ORDER BY sim DESC, label) AS rank FROM r",
+    "speaker_centroid": f"WITH {VECTORS} SELECT label::BIGINT AS label, i - 1 AS d, round(y, 9) AS x FROM cen",
+    "identify_target": f"WITH {VECTORS}, r AS (SELECT label, sum(c.y * r.y) / (sqrt(sum(c.y * c.y)) * sqrt(sum(r.y * r.y))) AS sim FROM cen c JOIN ref r USING (i) GROUP BY label) SELECT label::BIGINT AS label, round(sim, 9) AS similarity, row_number() OVER (ORDER BY sim DESC, label) AS rank FROM r",
     "cosine_topk": f"WITH {VECTORS} SELECT v.vec_id, round(list_dot_product(v.x, z.x) / (v.n * z.n), 9) AS similarity FROM v, v z WHERE z.vec_id = 0 ORDER BY list_dot_product(v.x, z.x) / (v.n * z.n) DESC, v.vec_id LIMIT 10",
     "energy_vad": """WITH f AS (SELECT user_id AS file_id, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) - 1 AS idx, value AS energy FROM events),
 st AS (SELECT file_id, avg(energy) + 0.3 * stddev_pop(energy) AS lim FROM f GROUP BY file_id),
