@@ -2,6 +2,9 @@
 
 Vectors that are the same are one point. A neighbour graph is refined over the points; a list is enlarged, up to MOST,
 by what is at least as near as the threshold. Links that hold in double precision on the vectors give components.
+A link can be lost to MOST only if the lists of both its ends are full, so the points of full lists are compared with
+each other whole: they are gathered in balls around a neighbour, balls are held against each other in blocks, and where
+two components' balls are near enough to hold a link their members are compared.
 Recall is audited: a fixed sample of points is held against all points in blocks, and if that finds a link between two
 components the lists are enlarged and refined again. All links lie within components, so each point's links are at last
 counted there: lists that were too short are enlarged to their whole component, in blocks of MEMBERS points, without
@@ -22,7 +25,7 @@ from .neighbours import Graph, arrow, matrix, usable
 
 LEAST, K, MOST, ROUNDS = 0.9, 16, 48, 3
 AUDIT, AUDITS, MEMBERS = 512, 2, 1024
-MARGIN = 0.02
+MARGIN, BALL = 0.02, 0.96
 
 
 def unit(v):
@@ -53,6 +56,80 @@ def audit(points: DataFrame, sample: list, least: float) -> DataFrame:
     return points.select("id", "u").mapInArrow(run, "a long, b long").filter("a <> b")
 
 
+def full_lists(graph: Graph) -> DataFrame:
+    """Nodes whose lists may have lost links: as long as they may be, and the last one still near enough."""
+    return graph.nodes.filter((F.size("sims") >= graph.most) & (F.element_at("sims", -1) >= graph.above))
+
+
+def dealt(rows: DataFrame, parts, key: str, same: list[str]) -> DataFrame:
+    """Rows in `parts` parts by a hash of `key` -> each pair of parts of the same columns as `i, j, left`, in which the
+    left part has its rows with `left` and the right part its own; a part with itself has its rows on both sides."""
+    rows = rows.withColumn("parts", parts).withColumn("part", F.pmod(F.xxhash64(key), F.col("parts")).cast("int"))
+    spread = rows.select("*", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("other"))
+    one = spread.select(*same, F.col("part").alias("i"), F.col("other").alias("j"), F.lit(True).alias("left"))
+    two = spread.select(*same, F.col("other").alias("i"), F.col("part").alias("j"), F.lit(False).alias("left"))
+    return one.unionAll(two)
+
+
+def near_balls(least: float):
+    """Balls on the left and on the right -> pairs of different components whose members may be linked, by the
+    triangle inequality of angles."""
+
+    def run(rows: pa.Table) -> pa.Table:
+        left, u = rows.column("left").to_numpy(zero_copy_only=False), matrix(rows.column("u"))
+        leader, root, wide = (rows.column(c).to_numpy() for c in ("leader", "root", "wide"))
+        a, b, out = np.flatnonzero(left), np.flatnonzero(~left), []
+        for at in range(0, len(a), 256):
+            x = a[at : at + 256]
+            angle = np.arccos(np.clip(u[x] @ u[b].T, -1, 1))
+            i, j = np.nonzero((angle <= np.arccos(least) + wide[x, None] + wide[None, b] + 1e-6) & (root[x, None] < root[None, b]))
+            out.append((x[i], b[j]))
+        i, j = (np.concatenate(x) for x in zip(*out, strict=True)) if out else (np.zeros(0, int), np.zeros(0, int))
+        return pa.table([leader[i], root[i], leader[j], root[j]], names=["l1", "r1", "l2", "r2"])
+
+    return run
+
+
+def nearest_pair(least: float):
+    """Members of two balls -> one link between them, if there is one."""
+
+    def run(rows: pa.Table) -> pa.Table:
+        left, u, ids = rows.column("left").to_numpy(zero_copy_only=False), matrix(rows.column("u")), rows.column("id").to_numpy()
+        a, b = np.flatnonzero(left), np.flatnonzero(~left)
+        top, found = -2.0, ([], [])
+        for at in range(0, len(a) if len(b) else 0, 1024):
+            s = u[a[at : at + 1024]] @ u[b].T
+            if s.max() >= max(least, top):
+                i, j = np.unravel_index(s.argmax(), s.shape)
+                top, found = s.max(), ([ids[a[at + i]]], [ids[b[j]]])
+        return pa.table([pa.array(x, pa.int64()) for x in found], names=["a", "b"])
+
+    return run
+
+
+def bridges(work: Workspace, nodes: DataFrame, points: DataFrame, roots: DataFrame, least: float, name: str) -> DataFrame:
+    """`a, b`: links between components, at least one for each two that are linked by points of `nodes`; exact."""
+    u, own = points.select("id", "u"), roots.withColumnRenamed("node", "id")
+    close = F.filter(F.arrays_zip("ids", "sims"), lambda l: l["sims"] >= BALL)
+    ranked = F.transform(F.concat(F.array("id"), F.transform(close, lambda l: l["ids"])), lambda x: F.struct(F.xxhash64(x).alias("h"), x.alias("leader")))
+    balls = nodes.select("id", F.array_min(ranked)["leader"].alias("leader")).join(u, "id").join(own, "id", "left")
+    balls = balls.join(u.select(F.col("id").alias("leader"), F.col("u").alias("c")), "leader")
+    angle = F.acos(F.greatest(F.lit(-1.0), F.least(F.lit(1.0), dot(F.col("u"), F.col("c")))))
+    balls = work.write(balls.select("id", "leader", F.coalesce("root", "id").alias("root"), "u", "c", angle.alias("angle")), f"balls{name}")
+    heads = balls.groupBy("leader", "root").agg(F.max("angle").alias("wide"), F.count("*").alias("size"))
+    heads = work.write(heads.join(u.withColumnRenamed("id", "leader"), "leader"), f"heads{name}")
+    parts = F.lit(max(1, -(-heads.count() // MEMBERS)))
+    both = dealt(heads, parts, "leader", ["leader", "root", "wide", "u"])
+    near = work.write(both.groupBy("i", "j").applyInArrow(arrow(near_balls(least)), "l1 long, r1 long, l2 long, r2 long"), f"near{name}")
+    # the members of the two balls of each pair, in parts of MEMBERS
+    sizes, pair = heads.select("leader", "root", F.ceil(F.col("size") / MEMBERS).cast("int").alias("parts")), ["l1", "r1", "l2", "r2"]
+    near = near.join(sizes.toDF("l1", "r1", "n1"), ["l1", "r1"]).join(sizes.toDF("l2", "r2", "n2"), ["l2", "r2"])
+    m = balls.select("leader", "root", "id", "u")
+    one = near.join(m.toDF("l1", "r1", "id", "u"), ["l1", "r1"]).select(*pair, F.pmod(F.xxhash64("id"), "n1").alias("i"), F.explode(F.sequence(F.lit(0).cast("long"), F.col("n2") - F.lit(1).cast("long"))).alias("j"), F.lit(True).alias("left"), "id", "u")
+    two = near.join(m.toDF("l2", "r2", "id", "u"), ["l2", "r2"]).select(*pair, F.explode(F.sequence(F.lit(0).cast("long"), F.col("n1") - F.lit(1).cast("long"))).alias("i"), F.pmod(F.xxhash64("id"), "n2").alias("j"), F.lit(False).alias("left"), "id", "u")
+    return work.write(one.unionAll(two).groupBy(*pair, "i", "j").applyInArrow(arrow(nearest_pair(least)), "a long, b long"), f"bridges{name}")
+
+
 COUNTS = "id long, n long"
 
 
@@ -111,6 +188,10 @@ def dedup_embeddings(vectors: DataFrame, least: float = LEAST, k: int = K, id_co
         links = links_of(graph, points, least)
         links = work.write(links if extra is None else links.unionAll(extra), f"links{turn}")
         roots = work.write(components(work, links), f"roots{turn}")
+        full = work.write(full_lists(graph).select("id", "ids", "sims"), f"full{turn}")
+        if not full.isEmpty():
+            links = links.unionAll(bridges(work, full, points, roots, least, str(turn)))
+            roots = work.write(components(work, links), f"joined{turn}")
         found = audit(points, sample, least).join(roots.select(F.col("node").alias("a"), F.col("root").alias("ra")), "a", "left")
         found = found.join(roots.select(F.col("node").alias("b"), F.col("root").alias("rb")), "b", "left")
         missed = found.filter(F.coalesce("ra", "a") != F.coalesce("rb", "b")).select("a", "b")

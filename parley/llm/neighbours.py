@@ -114,12 +114,12 @@ def updates(blocks: int, owner, ids, sims) -> pa.Table:
 NONE = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.float32)
 
 
-def leaf_lists(blocks: int, k: int):
+def leaf_lists(blocks: int, k: int, above: float = 2.0, most: int = 0):
     def run(points: pa.Table) -> pa.Table:
         ids = points.column("id").to_numpy()
         if len(ids) < 2:
             return updates(blocks, *NONE)
-        return updates(blocks, *nearest_in(ids, codes_of(points.column("code").to_pylist()), k))
+        return updates(blocks, *best(*nearest_in(ids, codes_of(points.column("code").to_pylist()), max(k, most)), k, above, most))
 
     return run
 
@@ -158,9 +158,9 @@ def merge_lists(k: int, above: float, most: int):
 MESSAGES = "block int, to long, id long, worst float, sim float, code binary"
 
 
-def send_codes(blocks: int, k: int):
+def send_codes(blocks: int, k: int, above: float = 2.0, most: int = 0):
     """Nodes, and the links that end in them -> each node's code to all its neighbours, of either direction (the
-    nearest 2k of those that name it)."""
+    nearest 2k of those that name it). A list shorter than `most` takes what is at least `above`, however near its last is."""
 
     def run(nodes: pa.Table, back: pa.Table) -> pa.Table:
         if not nodes.num_rows:
@@ -168,9 +168,11 @@ def send_codes(blocks: int, k: int):
             return pa.table([pa.array(e, pa.int32()), e, e, pa.array(e, pa.float32()), pa.array(e, pa.float32()), pa.array([], pa.binary())], names=["block", "to", "id", "worst", "sim", "code"])
         ids, owner, near, sims = links_of(nodes)
         ends = np.searchsorted(owner, ids, side="right") if len(owner) else np.zeros(len(ids), int)
-        full = ends - (np.searchsorted(owner, ids) if len(owner) else 0) >= k
+        held = ends - (np.searchsorted(owner, ids) if len(owner) else 0)
+        full = held >= k
         worst = np.full(len(ids), -2, np.float32)
         worst[full] = sims[ends[full] - 1]
+        worst[full & (held < most)] = np.minimum(worst[full & (held < most)], above)
         if back.num_rows:
             to_owner, to_near, to_sims = best(back.column("owner").to_numpy(), back.column("id").to_numpy(), back.column("sim").to_numpy(), 2 * k)
             owner, near, sims = best(np.concatenate([owner, to_owner]), np.concatenate([near, to_near]), np.concatenate([sims, to_sims]), 1 << 40)
@@ -182,7 +184,7 @@ def send_codes(blocks: int, k: int):
     return run
 
 
-def local_join(blocks: int, k: int):
+def local_join(blocks: int, k: int, above: float = 2.0, most: int = 0):
     """Around each node, all pairs of what has come in; those nearer than the last neighbour of either go out."""
 
     def run(messages: pa.Table) -> pa.Table:
@@ -199,8 +201,8 @@ def local_join(blocks: int, k: int):
             i, j = np.nonzero(s > worst[a:b, None])
             out.append((ids[a:b][i], ids[a:b][j], s[i, j]))
             if len(out) >= 256:
-                out = [best(*(np.concatenate(x) for x in zip(*out, strict=True)), 2 * k)]
-        return updates(blocks, *best(*(np.concatenate(x) for x in zip(*out, strict=True)), 2 * k))
+                out = [best(*(np.concatenate(x) for x in zip(*out, strict=True)), 2 * k, above, most)]
+        return updates(blocks, *best(*(np.concatenate(x) for x in zip(*out, strict=True)), 2 * k, above, most))
 
     return run
 
@@ -225,7 +227,7 @@ class Graph:
         sizes = spread.groupBy("tree", "leaf").agg(F.ceil(F.count("*") / (4 * leaf)).cast("int").alias("parts"))
         spread = spread.join(work.write(sizes, "leaves"), ["tree", "leaf"])
         spread = spread.withColumn("part", F.pmod(F.xxhash64("id"), F.col("parts")))
-        lists = spread.select("tree", "leaf", "part", "id", "code").groupBy("tree", "leaf", "part").applyInArrow(arrow(leaf_lists(self.blocks, k)), UPDATES)
+        lists = spread.select("tree", "leaf", "part", "id", "code").groupBy("tree", "leaf", "part").applyInArrow(arrow(leaf_lists(self.blocks, k, above, most)), UPDATES)
         empty = coded.select("block", "id", "code", F.array().cast("array<long>").alias("ids"), F.array().cast("array<float>").alias("sims"))
         self.round = 0
         self.nodes = self.merged(empty, lists)
@@ -244,13 +246,13 @@ class Graph:
         back = self.nodes.select(F.col("id").alias("from"), F.explode(F.arrays_zip("ids", "sims")).alias("l"))
         back = back.select(F.col("l.ids").alias("owner"), F.col("from").alias("id"), F.col("l.sims").alias("sim")).withColumn("block", place)
         sent = self.nodes.groupBy("block").cogroup(back.select("block", "owner", "id", "sim").groupBy("block"))
-        return sent.applyInArrow(arrow2(send_codes(self.blocks, self.k)), MESSAGES)
+        return sent.applyInArrow(arrow2(send_codes(self.blocks, self.k, self.above, self.most)), MESSAGES)
 
     def refine(self, rounds: int, enough: float = 0.002) -> None:
         """Up to so many rounds, until a round brings fewer than that share of new neighbours."""
         for _ in range(rounds):
             before = self.total()
-            found = self.messages().groupBy("block").applyInArrow(arrow(local_join(self.blocks, self.k)), UPDATES)
+            found = self.messages().groupBy("block").applyInArrow(arrow(local_join(self.blocks, self.k, self.above, self.most)), UPDATES)
             self.nodes = self.merged(self.nodes, found)
             now = self.total()
             if now[1] - before[1] <= enough * max(1.0, abs(before[1])) and now[0] == before[0]:

@@ -268,6 +268,33 @@ def test_embedding_links_and_components(spark):
     assert all((got[i]["n_links"], got[i]["component_id"]) == (0, i) for i in range(5000, 5005)) and got[None]["component_id"] is None
 
 
+def test_lists_are_enlarged_by_all_that_is_near(spark):
+    rng = np.random.default_rng(3)
+    m = np.vstack([rng.standard_normal(16) * 2 + rng.standard_normal((40, 16)) * 0.15, rng.standard_normal((60, 16))])
+    rows = spark.createDataFrame([(i, [float(x) for x in v]) for i, v in enumerate(m)], "id long, v array<double>")
+    g = neighbours.Graph(Workspace(spark, "lists"), rows, 8, above=0.88, most=48)
+    g.refine(3)
+    u = m / np.linalg.norm(m, axis=1, keepdims=True)
+    assert all({*np.flatnonzero(u @ u[r["id"]] >= 0.9)} - {r["id"]} <= {*r["ids"]} for r in g.nodes.collect())
+
+
+def test_groups_wider_than_a_list_are_linked(spark, monkeypatch):
+    monkeypatch.setattr(embedding_dedup, "AUDIT", 1)
+    rng, n = np.random.default_rng(4), 200
+    a = np.eye(32)[0]
+    b = 0.915 * a + np.sqrt(1 - 0.915**2) * np.eye(32)[1]
+    m = np.vstack([a + rng.standard_normal((n, 32)) * 0.008, b + rng.standard_normal((n, 32)) * 0.008, -np.eye(32)[5:6]])
+    ids = [r[0] for r in spark.range(2 * n + 1).orderBy(F.xxhash64("id")).collect()]
+    ids = [*ids[1:], ids[0]]  # the lone vector is the one that an audit of one would take
+    df = spark.createDataFrame([(i, [float(x) for x in v]) for i, v in zip(ids, m, strict=True)], "vec_id long, embedding array<double>")
+    u = m / np.linalg.norm(m, axis=1, keepdims=True)
+    near = u @ u.T >= 0.9
+    assert near[:n, n:-1].any()
+    got = {r["vec_id"]: r for r in embedding_dedup.dedup_embeddings(df).collect()}
+    assert {got[i]["component_id"] for i in ids[:-1]} == {min(ids[:-1])} and got[ids[-1]]["component_id"] == ids[-1]
+    assert all(got[i]["n_links"] == near[k].sum() - 1 for k, i in enumerate(ids))
+
+
 def test_block_column_is_block_of(spark):
     ids = np.array([0, 1, 5, 123456789012345, -7, 2**62 + 12345, -(2**63)], np.int64)
     df = spark.createDataFrame([(int(x),) for x in ids], "x long")
