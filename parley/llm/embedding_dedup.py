@@ -5,14 +5,19 @@ by what is at least as near as the threshold. Links that hold in double precisio
 A link can be lost to MOST only if the lists of both its ends are full, so the points of full lists are compared with
 each other whole: they are gathered in balls around a neighbour, balls are held against each other in blocks, and where
 two components' balls are near enough to hold a link their members are compared.
-Recall is audited: a fixed sample of points is held against all points in blocks, and if that finds a link between two
-components the lists are enlarged and refined again. All links lie within components, so each point's links are at last
+Recall is audited: in each turn another sample of points, larger for larger tables, is held against all points in blocks,
+and if that finds a link between two components the lists are enlarged and refined again. What an audit has found is
+not given to the next turn's lists, but it is in the result. If the last audit still finds a link, all points are
+compared as those of full lists are, which is exact and takes time by the square of the number of balls. All links lie within components, so each point's links are at last
 counted there: lists that were too short are enlarged to their whole component, in blocks of MEMBERS points, without
 making a row for a pair.
 """
 
 from __future__ import annotations
 
+import math
+from functools import reduce
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -42,16 +47,17 @@ def links_of(graph: Graph, points: DataFrame, least: float) -> DataFrame:
 
 
 def audit(points: DataFrame, sample: list, least: float) -> DataFrame:
-    """`a, b`: the links of the sample with all points; the sample is bounded by AUDIT."""
+    """`a, b`: the links of the sample with all points."""
     ids = np.array([r["id"] for r in sample], np.int64)
     m = np.array([r["u"] for r in sample])
 
     def run(batches):
         for batch in batches:
             t = pa.Table.from_batches([batch])
-            if t.num_rows:
-                i, j = np.nonzero(matrix(t.column("u")) @ m.T >= least)
-                yield pa.record_batch([pa.array(t.column("id").to_numpy()[i]), pa.array(ids[j])], names=["a", "b"])
+            for at in range(0, t.num_rows, 512):
+                part = t.slice(at, 512)
+                i, j = np.nonzero(matrix(part.column("u")) @ m.T >= least)
+                yield pa.record_batch([pa.array(part.column("id").to_numpy()[i]), pa.array(ids[j])], names=["a", "b"])
 
     return points.select("id", "u").mapInArrow(run, "a long, b long").filter("a <> b")
 
@@ -179,26 +185,33 @@ def dedup_embeddings(vectors: DataFrame, least: float = LEAST, k: int = K, id_co
     classes = good.groupBy("v").agg(F.min("id").alias("id"), F.count("*").alias("times"))
     points = work.write(classes.select("id", "times", "v", unit(F.col("v")).alias("u")), "points")
     of = good.join(points.select("v", F.col("id").alias("point")), "v").select("id", "point")
-    sample = points.orderBy(F.xxhash64("id"), "id").limit(AUDIT).select("id", "u").collect()
-    extra = None
+    size = max(AUDIT, 2 * math.isqrt(points.count()))
+    known = []
     for turn in range(AUDITS + 1):
         grow = 1 << turn
         graph = Graph(Workspace(vectors.sparkSession, "descent"), points, k * grow, above=least - MARGIN, most=MOST * grow)
         graph.refine(ROUNDS)
-        links = links_of(graph, points, least)
-        links = work.write(links if extra is None else links.unionAll(extra), f"links{turn}")
+        links = work.write(links_of(graph, points, least), f"links{turn}")
         roots = work.write(components(work, links), f"roots{turn}")
         full = work.write(full_lists(graph).select("id", "ids", "sims"), f"full{turn}")
         if not full.isEmpty():
             links = links.unionAll(bridges(work, full, points, roots, least, str(turn)))
             roots = work.write(components(work, links), f"joined{turn}")
+        known.append(links)
+        sample = points.orderBy(F.xxhash64(F.lit(turn), "id"), "id").limit(size).select("id", "u").collect()
         found = audit(points, sample, least).join(roots.select(F.col("node").alias("a"), F.col("root").alias("ra")), "a", "left")
         found = found.join(roots.select(F.col("node").alias("b"), F.col("root").alias("rb")), "b", "left")
-        missed = found.filter(F.coalesce("ra", "a") != F.coalesce("rb", "b")).select("a", "b")
-        missed = work.write(missed, f"missed{turn}")
-        if missed.isEmpty():
+        missed = work.write(found.filter(F.coalesce("ra", "a") != F.coalesce("rb", "b")).select("a", "b"), f"missed{turn}")
+        clean = missed.isEmpty()
+        if clean:
             break
-        extra = missed if extra is None else work.write(extra.unionAll(missed), f"extra{turn}")
+        known.append(missed)
+    if len(known) > 1:
+        links = reduce(DataFrame.unionAll, known)
+        roots = work.write(components(work, links), "known")
+        if not clean:
+            every = bridges(work, graph.nodes.select("id", "ids", "sims"), points, roots, least, "all")
+            roots = work.write(components(work, links.unionAll(every)), "whole")
     members = points.join(roots.withColumnRenamed("node", "id"), "id").select("id", "root", "times", "u")
     n = work.write(link_counts(members, least), "counts")
     result = points.select("id", "times").join(n, "id", "left").join(roots.withColumnRenamed("node", "id"), "id", "left")

@@ -295,6 +295,16 @@ def test_groups_wider_than_a_list_are_linked(spark, monkeypatch):
     assert all(got[i]["n_links"] == near[k].sum() - 1 for k, i in enumerate(ids))
 
 
+def test_links_that_no_list_holds_are_found(spark, monkeypatch):
+    monkeypatch.setattr(embedding_dedup, "links_of", lambda graph, points, least: points.select(F.col("id").alias("a"), F.col("id").alias("b")).limit(0))
+    monkeypatch.setattr(embedding_dedup, "AUDIT", 8)
+    rng = np.random.default_rng(5)
+    m = rng.standard_normal((300, 16))
+    m[150:] = m[:150] + rng.standard_normal((150, 16)) * 0.02
+    got = {r["vec_id"]: r["component_id"] for r in embedding_dedup.dedup_embeddings(vectors(spark, m)).collect()}
+    assert all(got[i] == got[i + 150] <= i for i in range(150))
+
+
 def test_block_column_is_block_of(spark):
     ids = np.array([0, 1, 5, 123456789012345, -7, 2**62 + 12345, -(2**63)], np.int64)
     df = spark.createDataFrame([(int(x),) for x in ids], "x long")
