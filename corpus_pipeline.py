@@ -24,10 +24,15 @@ def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document of the smallest id of each group of near-copies."""
-    groups = simhash.simhash_groups(docs)
-    first = groups.filter("doc_id = component_id").select("doc_id").distinct()
-    return docs.join(first, "doc_id", "left_semi").select(docs.columns)
+    """One row of each group of near-copies: that of the smallest id, null ids last; of rows that repeat an id the one
+    of the smallest fingerprint, then hash of the text."""
+    work = Workspace(spark, "near-copies")
+    rows = work.write(docs.select(F.monotonically_increasing_id().alias("rid"), F.struct(*docs.columns).alias("row")), "rows")
+    groups = simhash.simhash_groups(rows.select("rid", "row.text"), id_col="rid").select(F.col("doc_id").alias("rid"), "fp", "component_id")
+    keys = rows.select("rid", F.col("row.doc_id").alias("doc_id"), F.xxhash64("row.text").alias("h")).join(groups, "rid")
+    order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "fp", "h", "rid")
+    first = keys.groupBy("component_id").agg(F.min(order)["rid"].alias("rid")).select("rid")
+    return rows.join(first, "rid", "left_semi").select("row.*")
 
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -435,3 +435,13 @@ def test_pipeline_stage_by_stage(spark):
     library = sentencepiece.SentencePieceProcessor(model_file=PIECES)
     assert kept[5].count() == kept[4].count()
     assert all(r["ids"] == library.encode(good[4][r["doc_id"]]) for r in kept[5].limit(50).collect())
+
+
+def test_near_copies_keep_one_row_of_each_group(spark):
+    import corpus_pipeline as cp
+
+    text = [" ".join(random.Random(k).choices("abcdefghijklmnopqrstuvwxyz", k=60)) for k in range(7)]
+    rows = [(None, text[0]), (None, text[1]), (None, text[1]), (None, text[2]), (4, text[2]), (5, text[3]), (5, text[3]), (6, text[4]), (6, text[5]), (3, text[5]), (7, text[6])]
+    kept = cp.near_copies(spark, documents(spark, rows), "").collect()
+    want = [(None, text[0]), (None, text[1]), (4, text[2]), (5, text[3]), (6, text[4]), (3, text[5]), (7, text[6])]
+    assert sorted(map(str, [(r["doc_id"], r["text"]) for r in kept])) == sorted(map(str, want))
