@@ -3,11 +3,15 @@
 Vectors that are the same are one point of the graph, whatever their number. Queries are points of the index; a query
 starts from its own list, and in each round the best points that it has not visited yet are expanded: the query's code
 goes to their blocks, where the codes of all their neighbours are, and the nearest come back. What is nearest by codes
-is measured again on the original vectors.
+is measured again on the original vectors. Vectors of different norms are put into bands in which norms differ by a
+factor of at most root 2, so that the component which brings a band to one norm never outweighs the others: a large band
+has a graph, which each query enters by the nearest of a sample, and the points of small ones are all compared.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -15,10 +19,11 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from .common import Workspace, table
-from .neighbours import NONE, Graph, arrow2, block_column, block_of, codes_of, usable
+from .neighbours import NONE, Graph, arrow2, block_of, codes_of, matrix, usable
 
 K, ROUNDS, TOP = 48, 4, 20
 HOPS, BEAM, POOL, AGAIN = 2, 48, 256, 160
+FEW, DOORS, PART = 1 << 14, 1024, 4096
 POOLS = "block int, q long, id long, score float, open boolean"
 REQUESTS = "block int, id long, q long, code binary"
 
@@ -106,21 +111,11 @@ def take_in(blocks: int, beam: int, pool_size: int):
     return run
 
 
-def search(work: Workspace, graph: Graph, asked: DataFrame, lengthened: bool = False, hops: int = HOPS, beam: int = BEAM, pool_size: int = POOL) -> DataFrame:
-    """`asked(id)`, points of the graph -> `q, id, score`: near points by their codes, at most pool_size for each.
-
-    If the points were lengthened to one norm, their own sims are not what is asked for: a query is then 0 in the last
-    place, starts from itself alone and goes on for longer.
-    """
-    queries = work.write(graph.nodes.join(asked, "id", "left_semi"), "queries")
-    near = queries.select("block", F.col("id").alias("q"), F.explode(F.arrays_zip("ids", "sims")).alias("l"))
-    pool = near.select("block", "q", F.col("l.ids").alias("id"), F.col("l.sims").alias("score"), F.lit(True).alias("open"))
-    codes = queries.select("block", "id", "code")
-    if lengthened:
-        pool = queries.select("block", F.col("id").alias("q"), "id", F.lit(0.0).cast("float").alias("score"), F.lit(True).alias("open"))
-        codes = queries.select("block", "id", F.expr("concat(substring(code, 1, length(code) - 1), X'00')").alias("code"))
+def search(work: Workspace, graph: Graph, codes: DataFrame, pool: DataFrame, hops: int = HOPS, beam: int = BEAM, pool_size: int = POOL) -> DataFrame:
+    """`codes(block, id, code)` of queries and the POOLS they start from -> `q, id, score`: near points by their codes,
+    at most pool_size for each."""
     pool = work.write(pool, "pool0")
-    for hop in range(hops * (3 if lengthened else 1)):
+    for hop in range(hops):
         requests = codes.groupBy("block").cogroup(pool.groupBy("block")).applyInArrow(arrow2(ask(graph.blocks, beam)), REQUESTS)
         found = graph.messages().groupBy("block").cogroup(requests.groupBy("block")).applyInArrow(arrow2(answer(graph.blocks, pool_size)), POOLS)
         pool = pool.groupBy("block").cogroup(found.groupBy("block")).applyInArrow(arrow2(take_in(graph.blocks, beam, pool_size)), POOLS)
@@ -129,11 +124,96 @@ def search(work: Workspace, graph: Graph, asked: DataFrame, lengthened: bool = F
     return pool.select("q", "id", "score")
 
 
+def search_own(work: Workspace, graph: Graph, points: DataFrame) -> DataFrame:
+    """search() for points of the graph, from their own lists."""
+    queries = work.write(graph.nodes.join(points, "id", "left_semi"), "queries")
+    near = queries.select("block", F.col("id").alias("q"), F.explode(F.arrays_zip("ids", "sims")).alias("l"))
+    pool = near.select("block", "q", F.col("l.ids").alias("id"), F.col("l.sims").alias("score"), F.lit(True).alias("open"))
+    return search(work, graph, queries.select("block", "id", "code"), pool)
+
+
+def doors(blocks: int, beam: int, ids: np.ndarray, m: np.ndarray):
+    """Queries `id, v` -> the nearest of the sample, to start from."""
+
+    def run(batches):
+        for batch in batches:
+            t = pa.Table.from_batches([batch])
+            for at in range(0, t.num_rows, 512):
+                part = t.slice(at, 512)
+                v, q = matrix(part.column("v")), part.column("id").to_numpy()
+                s = v / np.linalg.norm(v, axis=1, keepdims=True) @ m.T
+                n = min(beam, len(ids))
+                near = np.argpartition(-s, n - 1, axis=1)[:, :n]
+                out = pool_table(blocks, np.repeat(q, n), ids[near].ravel(), np.take_along_axis(s, near, 1).ravel(), np.ones(n * len(q), bool))
+                yield from out.to_batches()
+
+    return run
+
+
+def plain_codes(blocks: int):
+    """Queries `id, v` -> `block, id, code`; 0 in the place of the component that lengthens a band's points."""
+
+    def run(batches):
+        for batch in batches:
+            t = pa.Table.from_batches([batch])
+            if t.num_rows:
+                v, q = matrix(t.column("v")), t.column("id").to_numpy()
+                code = np.round(v / np.abs(v).max(axis=1, keepdims=True) * 127).astype(np.int8)
+                code = np.hstack([code, np.zeros((len(code), 1), np.int8)])
+                yield pa.record_batch([pa.array(block_of(q, blocks)), pa.array(q), pa.array([c.tobytes() for c in code], pa.binary())], names=["block", "id", "code"])
+
+    return run
+
+
+def compared(top: int):
+    """Queries on the left and points on the right -> the top of each query."""
+
+    def run(left: pa.Table, right: pa.Table) -> pa.Table:
+        out = [(np.zeros(0, np.int64), np.zeros(0, np.int64))]
+        if left.num_rows and right.num_rows:
+            q, ids, v, w = left.column("id").to_numpy(), right.column("id").to_numpy(), matrix(left.column("v")), matrix(right.column("v"))
+            order = np.argsort(ids, kind="stable")
+            ids, w = ids[order], w[order]
+            for at in range(0, len(q), 256):
+                s = v[at : at + 256] @ w.T
+                near = np.argsort(-s, axis=1, kind="stable")[:, :top]
+                out.append((np.repeat(q[at : at + 256], near.shape[1]), ids[near].ravel()))
+        q, ids = (np.concatenate(x) for x in zip(*out, strict=True))
+        return pa.table([q, ids], names=["q", "id"])
+
+    return run
+
+
+def banded(work: Workspace, classes: DataFrame, points: DataFrame, longest: float, top: int, k: int, rounds: int, few: int, **leaf) -> DataFrame:
+    """`q, id`: candidates for each query from every band of norms."""
+    length = F.sqrt(dot(F.col("v"), F.col("v")))
+    rows = work.write(classes.select("id", "v", length.alias("length"), F.floor(2 * F.log2(F.lit(longest) / length)).alias("band")), "bands")
+    asking = work.write(classes.join(points, "id", "left_semi").select("id", "v"), "asking-points")
+    large = [(r["band"], r["longest"]) for r in rows.groupBy("band").agg(F.count("*").alias("n"), F.max("length").alias("longest")).filter(F.col("n") > few).collect()]
+    rest = work.write(rows.filter(~F.col("band").isin([b for b, _ in large])).select("id", "v"), "rest")
+    i, j = (max(1, -(-x.count() // PART)) for x in (asking, rest))
+    part = lambda x: F.pmod(F.xxhash64("id"), F.lit(x)).cast("int")
+    each = lambda x: F.explode(F.sequence(F.lit(0), F.lit(x - 1)))
+    lefts = asking.select(part(i).alias("i"), each(j).alias("j"), "id", "v").groupBy("i", "j")
+    rights = rest.select(each(i).alias("i"), part(j).alias("j"), "id", "v").groupBy("i", "j")
+    pairs = [lefts.cogroup(rights).applyInArrow(arrow2(compared(top + 1)), "q long, id long")]
+    for b, norm in large:
+        own, band = Workspace(work.spark, "band"), rows.filter(F.col("band") == b).select("id", "v")
+        graph = Graph(own, band, k, top=norm, **leaf)
+        graph.refine(rounds)
+        sample = band.orderBy(F.xxhash64("id"), "id").limit(DOORS).collect()
+        entries = doors(graph.blocks, BEAM, np.array([r["id"] for r in sample], np.int64), np.array([r["v"] for r in sample]) / norm)
+        codes = own.write(asking.mapInArrow(plain_codes(graph.blocks), "block int, id long, code binary"), "query-codes")
+        pool = search(own, graph, codes, asking.mapInArrow(entries, POOLS), hops=3 * HOPS)
+        pairs.append(pool.withColumn("n", F.row_number().over(W.partitionBy("q").orderBy(F.desc("score"), "id"))).filter(F.col("n") <= AGAIN).select("q", "id"))
+    return work.write(reduce(DataFrame.unionAll, pairs), "candidates")
+
+
 def dot(a, b):
     return F.aggregate(F.zip_with(a, b, lambda x, y: x * y), F.lit(0.0), lambda s, x: s + x)
 
 
-def nearest(vectors: DataFrame, asked: DataFrame, top: int = TOP, k: int = K, rounds: int = ROUNDS, id_col: str = "vec_id", vector_col: str = "embedding", leaf: int | None = None) -> DataFrame:
+def nearest(vectors: DataFrame, asked: DataFrame, top: int = TOP, k: int = K, rounds: int = ROUNDS, id_col: str = "vec_id", vector_col: str = "embedding", leaf: int | None = None, few: int = FEW) -> DataFrame:
     """`query_id, rank, vec_id, score`: the `top` rows of largest inner product found for each id in `asked(id)`.
 
     Ids are distinct (of repeated ones one row is as good as another); queries are rows of `vectors`. Ties go to the
@@ -148,14 +228,17 @@ def nearest(vectors: DataFrame, asked: DataFrame, top: int = TOP, k: int = K, ro
     length = F.sqrt(dot(F.col("v"), F.col("v")))
     shortest, longest = classes.agg(F.min(length), F.max(length)).first()
     lengthened = bool(longest) and longest - shortest > 1e-3 * longest  # else inner products order as cosines do
-    graph = Graph(work, classes, k, top=longest if lengthened else 0.0, **({"leaf": leaf} if leaf else {}))
-    graph.refine(rounds)
     asking = work.write(of.join(asked.select("id"), "id", "left_semi"), "asking")
     points = asking.select(F.col("point").alias("id")).distinct()
-    pool = search(work, graph, points, lengthened)
-    by_code = W.partitionBy("q").orderBy(F.desc("score"), "id")
-    pairs = pool.withColumn("n", F.row_number().over(by_code)).filter(F.col("n") <= AGAIN).select("q", "id")
-    pairs = pairs.unionAll(points.select(F.col("id").alias("q"), "id"))
+    leaves = {"leaf": leaf} if leaf else {}
+    if lengthened:
+        pairs = banded(work, classes, points, longest, top, k, rounds, few, **leaves)
+    else:
+        graph = Graph(work, classes, k, **leaves)
+        graph.refine(rounds)
+        by_code = W.partitionBy("q").orderBy(F.desc("score"), "id")
+        pairs = search_own(work, graph, points).withColumn("n", F.row_number().over(by_code)).filter(F.col("n") <= AGAIN).select("q", "id")
+    pairs = pairs.unionAll(points.select(F.col("id").alias("q"), "id")).distinct()
     exact = pairs.join(classes, "id").join(classes.select(F.col("id").alias("q"), F.col("v").alias("w")), "q")
     exact = exact.select("q", "id", dot(F.col("v"), F.col("w")).alias("score"))
     by_score = W.partitionBy("q").orderBy(F.desc("score"), "id")

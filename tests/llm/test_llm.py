@@ -240,6 +240,35 @@ def test_nearest_against_brute_force(spark):
     assert set(got) == set(range(0, 900, 20))
 
 
+@pytest.mark.parametrize("few", [300, 1 << 14])
+def test_nearest_with_norms_far_apart(spark, few):
+    rng = np.random.default_rng(6)
+    m = rng.standard_normal((1500, 32))
+    m /= np.linalg.norm(m, axis=1, keepdims=True)
+    m[1000:] *= np.exp(rng.uniform(0, np.log(20), (500, 1)))
+    m[7] *= 100
+    df = vectors(spark, m)
+    got: dict = {}
+    for r in ann.nearest(df, df.filter("vec_id % 20 = 0").select(F.col("vec_id").alias("id")), leaf=200, few=few).collect():
+        got.setdefault(r["query_id"], set()).add(r["vec_id"])
+    x = m.astype("f4").astype(float)
+    want = {q: [i for i in np.argsort(-(x @ x[q]), kind="stable") if i != q][:20] for q in range(0, 1500, 20)}
+    assert sum(len(got[q] & {*want[q]}) for q in want) >= 0.95 * 20 * len(want)
+
+
+def test_outlier_norm_does_not_blind_the_graph(spark):
+    m = np.random.default_rng(7).standard_normal((1200, 32))
+    m /= np.linalg.norm(m, axis=1, keepdims=True)
+    m[7] *= 100
+    df = vectors(spark, m)
+    got: dict = {}
+    for r in ann.nearest(df, df.filter("vec_id % 20 = 0").select(F.col("vec_id").alias("id")), leaf=200).collect():
+        got.setdefault(r["query_id"], set()).add(r["vec_id"])
+    x = m.astype("f4").astype(float)
+    want = {q: [i for i in np.argsort(-(x @ x[q]), kind="stable") if i != q][:20] for q in range(0, 1200, 20)}
+    assert sum(len(got[q] & {*want[q]}) for q in want) >= 0.95 * 20 * len(want)
+
+
 def test_few_vectors_and_none(spark):
     df = vectors(spark, np.eye(3, 16))
     got = ann.nearest(df, df.select(F.col("vec_id").alias("id"))).collect()
