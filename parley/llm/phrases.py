@@ -1,61 +1,79 @@
 """Substring dedup with repeated-phrase automata.
 
-A window is WINDOW consecutive words. Documents are packed into blocks of about BLOCK bytes of text, and three passes
-run over the blocks:
+A window is WINDOW consecutive words. Documents are packed into blocks of about BLOCK bytes of text, in the order in
+which they are read, so rows that repeat are spread like others; four passes run over the blocks:
 
 1. Candidates. Each window is named by the least hash among its SHINGLE-word shingles. Equal windows have equal names,
    and neighbours mostly share theirs, so a block sends a few names a hundred words. Names that occur once anywhere
    belong to no repeated window.
 2. Confirmation. Windows with a repeated name send their own 96-bit hash; those that occur again anywhere are confirmed.
-3. Automata. The confirmed windows of a block, taken where they first occur in it, make up its recurring passages;
-   an Aho-Corasick automaton is compiled from phrases of PHRASE words that follow each other in the passages (any window
-   holds a whole one), one automaton a block, and all documents of the block are streamed through it. At a hit, the
-   windows around it that have a confirmed hash are compared word by word with the passage that hash comes from, and
-   extended within it; the words of such a run are removed.
-
-Hashes travel as sorted arrays, one for a block and a range of hashes, with at most two entries for a hash that a block
-holds any number of times: a passage that a third of all rows share is no larger than others.
+   Of the blocks that hold one, the first of each GROUP blocks is its owner and is told which of them the others are.
+3. Passages. An owner cuts out the words of the confirmed windows that it owns, runs of them together, and deals each
+   such passage to the blocks that hold any of its windows.
+4. Automata. The passages dealt to a block are its shard: an Aho-Corasick automaton is compiled from their phrases, PHRASE
+   words that follow each other, of which any window holds a whole one. All documents of the block are streamed through
+   it. A hit is compared with its passages word by word, PHRASE - 1 words to either side; where at least a window agrees,
+   its words are removed. A document's other blocks have nothing that it could hold, so it needs no other shard.
+
+What is dealt out grows with the repeated text of each block, not with blocks times passages. Hashes travel as sorted
+arrays, one for a block and a range of hashes, with one entry for a hash that a block holds any number of times: a passage
+that a third of all rows share is no larger than others.
 """
 
 from __future__ import annotations
 
 import hashlib
 import math
+from itertools import compress
+from operator import eq
 
 import ahocorasick
 import numpy as np
 import pyarrow as pa
-import xxhash
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import python_ready, table
 
-WINDOW, SHINGLE, PHRASE, REACH = 35, 12, 18, 256
-BLOCK, BUCKET = 8 << 20, 4_000_000
-CACHED, LONGEST_CACHED = 500_000, 64
+WINDOW, SHINGLE, PHRASE = 35, 12, 18
+BLOCK, CHUNK, BUCKET = 8 << 20, 1 << 20, 4_000_000
+GROUP, PIECE, DEALT = 4096, 256, 256
 MULTIPLIERS = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)
-
-
-class Words(dict):
-    """64-bit hashes by word; emptied when full."""
-
-    def __missing__(self, word: bytes) -> int:
-        h = xxhash.xxh64_intdigest(word, 7)
-        if len(word) <= LONGEST_CACHED:
-            if len(self) >= CACHED:
-                self.clear()
-            self[word] = h
-        return h
-
-
-_words = Words()
-
-
-def word_hashes(text: bytes | None) -> np.ndarray:
-    """Of the words `[^\\x20\\x09-\\x0D]+`, which are what bytes.split() gives."""
-    words = (text or b"").split()
-    return np.fromiter(map(_words.__getitem__, words), np.uint64, len(words))
+LANE, MIX = np.uint64(0xFF51AFD7ED558CCD), np.uint64(0xC4CEB9FE1A85EC53)
+WHITE = np.zeros(256, bool)
+WHITE[[9, 10, 11, 12, 13, 32]] = True
+#: Of the lanes of 8 bytes in which words are hashed, the bytes that belong to a word of so many more.
+MASKS = np.array([(1 << 8 * k) - 1 for k in range(9)], np.uint64)
+NONE = np.zeros(0, np.int64)
+
+
+def words_of(text: bytes | None) -> list[bytes]:
+    """The words `[^\\x20\\x09-\\x0D]+`, which are what bytes.split() gives."""
+    return (text or b"").split()
+
+
+def hashed(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """64-bit hashes of the words of all texts, and how many words each text has."""
+    data = b" ".join([b"", *texts, b" " * 9])
+    buffer = np.frombuffer(data, np.uint8)
+    white = WHITE[buffer]
+    starts = np.flatnonzero(white[:-1] & ~white[1:]) + 1
+    sizes = np.flatnonzero(~white[:-1] & white[1:]) + 1 - starts
+    lanes = np.ndarray((len(data) - 7,), "<u8", data, strides=(1,))
+    out = sizes.astype(np.uint64) * MIX
+    at, left, rows = starts, sizes, slice(None)
+    while len(at):
+        x = (lanes[at] & MASKS[np.minimum(left, 8)]) * LANE
+        x ^= x >> np.uint64(32)
+        h = (out[rows] ^ x) * MIX
+        out[rows] = h ^ (h >> np.uint64(29))
+        more = np.flatnonzero(left > 8)
+        rows = more if isinstance(rows, slice) else rows[more]
+        at, left = at[more] + 8, left[more] - 8
+    ends = np.cumsum([len(t) + 1 for t in texts], dtype=np.int64)
+    counts = np.diff(np.searchsorted(starts, np.concatenate([[0], ends + 1]))) if texts else NONE
+    return out, counts
 
 
 def rolled(hashes: np.ndarray, size: int, multiplier: int) -> np.ndarray:
@@ -86,28 +104,40 @@ def sliding(f, values: np.ndarray, size: int) -> np.ndarray:
     return f(out[: len(values) - size + 1], out[size - k :]) if k < size else out
 
 
+def distinct(values: np.ndarray) -> np.ndarray:
+    """Sorted; runs of one value, which are usual here, are passed over first."""
+    return np.unique(values[np.concatenate([[True], values[1:] != values[:-1]])]) if len(values) else values
+
+
 class Block:
-    """The documents of a block, one after another; `spans` are their words' places."""
+    """The documents of a block, one after another; `starts` and `ends` are their words' places."""
 
-    def __init__(self, payloads: pa.ChunkedArray, keep_texts: bool = False):
+    def __init__(self, payloads: pa.ChunkedArray):
         tables = [pa.ipc.open_stream(p.as_py()).read_all() for p in payloads]
         docs = pa.concat_tables(tables) if tables else pa.table({"doc_id": pa.array([], pa.int64()), "text": pa.array([], pa.binary())})
-        self.ids = docs.column("doc_id").to_pylist()
-        parts, self.texts = [], docs.column("text").to_pylist() if keep_texts else None
-        for text in docs.column("text"):
-            parts.append(word_hashes(text.as_py()))
-        sizes = np.array([len(p) for p in parts], np.int64)
+        self.ids, self.texts = docs.column("doc_id").to_pylist(), [t or b"" for t in docs.column("text").to_pylist()]
+        parts, sizes, at = [], [], 0
+        while at < len(self.texts):
+            to, held = at, 0
+            while to < len(self.texts) and (to == at or held < CHUNK):
+                held += len(self.texts[to])
+                to += 1
+            found = hashed(self.texts[at:to])
+            parts.append(found[0])
+            sizes.append(found[1])
+            at = to
+        sizes = np.concatenate([*sizes, NONE])
         self.ends = np.cumsum(sizes)
         self.starts = self.ends - sizes
         self.hashes = np.concatenate([*parts, np.zeros(0, np.uint64)])
 
     def windows(self) -> np.ndarray:
         """Which places begin a window that lies in one document."""
-        ok = np.zeros(max(0, len(self.hashes) - WINDOW + 1), bool)
-        for a, b in zip(self.starts.tolist(), self.ends.tolist(), strict=True):
-            if b - a >= WINDOW:
-                ok[a : b - WINDOW + 1] = True
-        return ok
+        step = np.zeros(len(self.hashes) + 1, np.int32)
+        long = self.ends - self.starts >= WINDOW
+        np.add.at(step, self.starts[long], 1)
+        np.add.at(step, self.ends[long] - WINDOW + 1, -1)
+        return np.cumsum(step)[: max(0, len(self.hashes) - WINDOW + 1)] > 0
 
     def shingles(self) -> np.ndarray:
         return rolled(self.hashes, SHINGLE, MULTIPLIERS[0])
@@ -119,7 +149,7 @@ class Block:
     def anchors(self) -> tuple[np.ndarray, np.ndarray]:
         """Names of the block's windows, and whether a shingle of that hash stands in two places of it."""
         shingles = self.shingles()
-        values = np.unique(self.names(shingles)[self.windows()])
+        values = distinct(self.names(shingles)[self.windows()])
         at = np.searchsorted(values, shingles[member(shingles, values)])
         return values, np.bincount(at, minlength=len(values)) > 1
 
@@ -133,8 +163,8 @@ def member(values: np.ndarray, among: np.ndarray) -> np.ndarray:
     return among[at] == values
 
 
-def gathered(column: pa.ChunkedArray) -> np.ndarray:
-    return np.sort(np.frombuffer(b"".join(x.as_py() for x in column), np.uint64))
+def joined(column: pa.ChunkedArray, dtype) -> np.ndarray:
+    return np.frombuffer(b"".join(x.as_py() for x in column), dtype)
 
 
 PARTS = "bucket int, block int, hashes binary, more binary, twice binary"
@@ -144,54 +174,97 @@ def in_buckets(block: int, values: np.ndarray, more: np.ndarray, twice: np.ndarr
     """Rows of PARTS: the values by range of hashes; `more` are 32 further bits of each."""
     to = (values % np.uint64(buckets)).astype(np.int64)
     order = np.argsort(to, kind="stable")
-    cuts = np.searchsorted(to[order], np.arange(buckets + 1))
-    rows = [(b, block, values[o].tobytes(), more[o].tobytes(), twice[o].tobytes()) for b in range(buckets) if len(o := order[cuts[b] : cuts[b + 1]])]
+    to, values, more, twice = to[order], values[order], more[order], twice[order]
+    cuts = [*np.flatnonzero(np.concatenate([[True], to[1:] != to[:-1]])).tolist(), len(to)] if len(to) else [0]
+    rows = [(int(to[a]), block, values[a:b].tobytes(), more[a:b].tobytes(), twice[a:b].tobytes()) for a, b in zip(cuts, cuts[1:], strict=False)]
     columns = list(zip(*rows, strict=True)) or [[]] * 5
     kinds = (pa.int32(), pa.int32(), pa.binary(), pa.binary(), pa.binary())
     return pa.table([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=["bucket", "block", "hashes", "more", "twice"])
 
 
+class Met:
+    """All entries of a range of hashes, sorted; entries of one value are a run."""
+
+    def __init__(self, parts: pa.Table):
+        sizes = [len(x.as_py()) // 8 for x in parts.column("hashes")]
+        values, more, twice = joined(parts.column("hashes"), np.uint64), joined(parts.column("more"), np.uint32), joined(parts.column("twice"), bool)
+        blocks = np.repeat(parts.column("block").to_numpy(), sizes)
+        order = np.lexsort((blocks, more, values))
+        self.values, self.blocks = values[order], blocks[order]
+        more, twice = more[order], twice[order]
+        self.begins = np.ones(len(order), bool)
+        self.begins[1:] = (self.values[1:] != self.values[:-1]) | (more[1:] != more[:-1])
+        firsts = np.flatnonzero(self.begins)
+        #: Whether the value of each entry occurs at least twice in all.
+        again = (np.diff(np.append(firsts, len(order))) > 1) | (np.logical_or.reduceat(twice, firsts) if len(firsts) else np.zeros(0, bool))
+        self.again = again[np.cumsum(self.begins) - 1]
+
+
+def by_block(blocks: np.ndarray, *columns: np.ndarray) -> list[tuple]:
+    """(block, its part of each column..); the columns are of one length."""
+    order = np.argsort(blocks, kind="stable")
+    blocks, columns = blocks[order], [c[order] for c in columns]
+    cuts = [*np.flatnonzero(np.concatenate([[True], blocks[1:] != blocks[:-1]])).tolist(), len(blocks)] if len(blocks) else [0]
+    return [(int(blocks[a]), *(c[a:b] for c in columns)) for a, b in zip(cuts, cuts[1:], strict=False)]
+
+
 def repeated(parts: pa.Table) -> pa.Table:
     """All of a range's rows -> for each block its values that occur at least twice in all."""
-    blocks = parts.column("block").to_numpy()
-    values = [np.frombuffer(x.as_py(), np.uint64) for x in parts.column("hashes")]
-    more = np.concatenate([np.frombuffer(x.as_py(), np.uint32) for x in parts.column("more")])
-    twice = np.concatenate([np.frombuffer(x.as_py(), bool) for x in parts.column("twice")])
-    of = np.repeat(np.arange(len(values)), [len(v) for v in values])
-    values = np.concatenate(values)
-    order = np.lexsort((more, values))
-    v, m = values[order], more[order]
-    same = (v[1:] == v[:-1]) & (m[1:] == m[:-1])
-    again = twice[order]
-    again[1:] |= same
-    again[:-1] |= same
-    # values of one block that is alone but marked twice count; so do all rows of a run with such a row, which `same` has marked
-    found = np.zeros(len(values), bool)
-    found[order] = again
-    of, values = of[found], values[found]
-    cuts = np.searchsorted(of, np.arange(len(blocks) + 1))
-    rows = [(int(b), values[cuts[i] : cuts[i + 1]].tobytes()) for i, b in enumerate(blocks) if cuts[i + 1] > cuts[i]]
-    columns = list(zip(*rows, strict=True)) or [[], []]
-    return pa.table([pa.array(columns[0], pa.int32()), pa.array(columns[1], pa.binary())], names=["block", "found"])
-
-
-def pack(batches):
-    """Rows `block, doc_id, text` -> rows `block, payload`: compressed tables of documents, a row for each block and batch."""
-    options = pa.ipc.IpcWriteOptions(compression="zstd")
-    for batch in batches:
-        docs = pa.Table.from_batches([batch]).sort_by("block")
-        blocks = docs.column("block").to_numpy()
-        cuts = [0, *(np.flatnonzero(np.diff(blocks)) + 1).tolist(), len(blocks)]
-        names, payloads = [], []
-        for a, b in zip(cuts, cuts[1:], strict=False):
-            if b > a:
+    met = Met(parts)
+    rows = by_block(met.blocks[met.again], met.values[met.again])
+    return pa.table([pa.array([b for b, _ in rows], pa.int32()), pa.array([v.tobytes() for _, v in rows], pa.binary())], names=["block", "found"])
+
+
+OWNED = "block int, found binary, sizes binary, holders binary"
+
+
+def owners(parts: pa.Table) -> pa.Table:
+    """All of a range's rows -> for each owner its values that occur at least twice in all, and the blocks of its group
+    that hold each, itself first."""
+    met = Met(parts)
+    at = np.flatnonzero(met.again)
+    blocks, group = met.blocks[at], met.blocks[at] // GROUP
+    first = met.begins[at]
+    first[1:] |= group[1:] != group[:-1]
+    firsts = np.flatnonzero(first)
+    sizes = np.diff(np.append(firsts, len(at)))
+    rows = []
+    for owner, values, n, begin in by_block(blocks[firsts], met.values[at][firsts], sizes, firsts):
+        held = blocks[spans(begin, n)]
+        rows.append((owner, values.tobytes(), n.astype(np.int32).tobytes(), held.astype(np.int32).tobytes()))
+    columns = list(zip(*rows, strict=True)) or [[]] * 4
+    kinds = (pa.int32(), pa.binary(), pa.binary(), pa.binary())
+    return pa.table([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=["block", "found", "sizes", "holders"])
+
+
+def spans(begin: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """begin[0], begin[0] + 1, .. of sizes[0] numbers, then those from begin[1]."""
+    return np.repeat(begin - np.cumsum(sizes) + sizes, sizes) + np.arange(sizes.sum())
+
+
+def pack(blocks: int):
+    """Partitions of `part, doc_id, text` -> rows `block, payload`: compressed tables of documents of about CHUNK bytes that
+    follow each other, dealt to the blocks in turn."""
+    def run(batches):
+        options, k = pa.ipc.IpcWriteOptions(compression="zstd"), 0
+        for batch in batches:
+            docs = pa.Table.from_batches([batch])
+            if not docs.num_rows:
+                continue
+            sizes = np.cumsum(pc.fill_null(pc.binary_length(docs.column("text")), 0).to_numpy(), dtype=np.int64)
+            part, at = docs.column("part")[0].as_py(), 0
+            while at < docs.num_rows:
+                before = sizes[at - 1] if at else 0
+                to = min(docs.num_rows, max(at + 1, int(np.searchsorted(sizes, before + CHUNK))), at + 50_000)
                 sink = pa.BufferOutputStream()
-                part = docs.slice(a, b - a).select(["doc_id", "text"]).combine_chunks()
-                with pa.ipc.new_stream(sink, part.schema, options=options) as writer:
-                    writer.write_table(part)
-                names.append(int(blocks[a]))
-                payloads.append(sink.getvalue().to_pybytes())
-        yield pa.record_batch([pa.array(names, pa.int32()), pa.array(payloads, pa.binary())], names=["block", "payload"])
+                rows = docs.slice(at, to - at).select(["doc_id", "text"]).combine_chunks()
+                with pa.ipc.new_stream(sink, rows.schema, options=options) as writer:
+                    writer.write_table(rows)
+                block = (part * 0x9E3779B1 + k) % (1 << 32) % blocks
+                yield pa.record_batch([pa.array([block], pa.int32()), pa.array([sink.getvalue().to_pybytes()], pa.binary())], names=["block", "payload"])
+                k, at = k + 1, to
+
+    return run
 
 
 def candidates_of(buckets: int):
@@ -208,7 +281,7 @@ def windows_of(buckets: int):
         if not docs.num_rows or not names.num_rows:
             return in_buckets(0, empty, empty.astype(np.uint32), empty.astype(bool), buckets)
         block = Block(docs.column("payload"))
-        likely = np.flatnonzero(block.windows() & member(block.names(block.shingles()), gathered(names.column("found"))))
+        likely = np.flatnonzero(block.windows() & member(block.names(block.shingles()), np.sort(joined(names.column("found"), np.uint64))))
         first, second = (rolled(block.hashes, WINDOW, m)[likely] for m in MULTIPLIERS)
         values, at, n = np.unique(first, return_index=True, return_counts=True)
         return in_buckets(docs.column("block")[0].as_py(), values, (second[at] >> np.uint64(32)).astype(np.uint32), n > 1, buckets)
@@ -216,76 +289,155 @@ def windows_of(buckets: int):
     return send
 
 
-def symbols(hashes: np.ndarray) -> str:
-    """A character for each word: what the automaton reads. Words may share one; hits are compared by hash."""
-    return (0x10000 + hashes % np.uint64(0x100000)).astype("<u4").tobytes().decode("utf-32-le")
-
-
-def covered_words(block: Block, confirmed: np.ndarray) -> np.ndarray:
-    """Which words of a block lie in an occurrence of a confirmed window, found by an automaton of recurring passages."""
-    covered = np.zeros(len(block.hashes), bool)
-    if not len(confirmed) or not (ok := block.windows()).any():
-        return covered
-    windows = rolled(block.hashes, WINDOW, MULTIPLIERS[0])
-    places = np.flatnonzero(ok & member(windows, confirmed))
-    if not len(places):
-        return covered
-    values, at = np.unique(windows[places], return_index=True)
-    origin = np.zeros(len(windows), np.int64)  # of a confirmed window: where its words first stand in the block
-    origin[places] = places[at][np.searchsorted(values, windows[places])]
-    likely, first = np.zeros(len(windows), bool), np.zeros(len(windows), bool)
-    likely[places], first[places[at]] = True, True
-    doc_of = np.searchsorted(block.ends, np.arange(len(windows)), side="right")
-    begins = first & np.concatenate([[True], ~first[:-1] | (doc_of[1:] != doc_of[:-1])])
-    ends = first & np.concatenate([~first[1:] | (doc_of[1:] != doc_of[:-1]), [True]])
-    lows, highs = np.flatnonzero(begins), np.flatnonzero(ends) + WINDOW
-    automaton = ahocorasick.Automaton()
-    for low, high in zip(lows.tolist(), highs.tolist(), strict=True):
-        text = symbols(block.hashes[low:high])
-        for k in range(0, high - low - PHRASE + 1, PHRASE):
-            automaton.add_word(text[k : k + PHRASE], True)
-    automaton.make_automaton()
-    hashes = block.hashes
-    for a, b in zip(block.starts.tolist(), block.ends.tolist(), strict=True):
-        if b - a < WINDOW:
-            continue
-        for end, _ in automaton.iter(symbols(hashes[a:b])):
-            start = a + end + 1 - PHRASE
-            low, high = max(a, start - WINDOW + PHRASE), min(start, b - WINDOW) + 1
-            for w in (np.flatnonzero(likely[low:high]) + low).tolist():
-                if not likely[w]:
-                    continue
-                place = int(origin[w])
-                k = int(np.searchsorted(lows, place, side="right")) - 1
-                back = min(REACH, w - a, place - int(lows[k]))
-                on = min(REACH, b - w - WINDOW, int(highs[k]) - place - WINDOW)
-                differ = np.flatnonzero(hashes[w - back : w + WINDOW + on] != hashes[place - back : place + WINDOW + on]) - back
-                if len(differ):
-                    if ((differ >= 0) & (differ < WINDOW)).any():
-                        likely[w] = False  # another window of the same hash
-                        continue
-                    back = min(back, -1 - int(differ[differ < 0].max(initial=-1 - back)))
-                    on = min(on, int(differ[differ >= WINDOW].min(initial=WINDOW + on)) - WINDOW)
-                covered[w - back : w + WINDOW + on] = True
-                likely[w - back : w + on + 1] = False  # done
-    return covered
+DEALT_PASSAGES = "words binary, holders array<int>"
+
+
+def passages(docs: pa.Table, owned: pa.Table) -> pa.Table:
+    """A block's documents and what it owns -> its passages, each of words between single spaces, of at most PIECE windows,
+    with the blocks that hold some window of it, at most DEALT in a row."""
+    texts, holders = [], []
+    if docs.num_rows and owned.num_rows:
+        block = Block(docs.column("payload"))
+        values, sizes, held = (joined(owned.column(c), t) for c, t in (("found", np.uint64), ("sizes", np.int32), ("holders", np.int32)))
+        begin = np.cumsum(sizes) - sizes
+        order = np.argsort(values, kind="stable")
+        values, sizes, begin = values[order], sizes[order], begin[order]
+        windows = rolled(block.hashes, WINDOW, MULTIPLIERS[0])
+        places = np.flatnonzero(block.windows() & member(windows, values))
+        of, first = np.unique(windows[places], return_index=True)
+        at = np.searchsorted(values, of)
+        order = np.argsort(places[first], kind="stable")
+        places, at = places[first][order], at[order]  # where each window owned first stands in the block
+        doc = np.searchsorted(block.ends, places, side="right")
+        new = np.ones(len(places), bool)
+        new[1:] = (places[1:] != places[:-1] + 1) | (doc[1:] != doc[:-1])
+        run = np.flatnonzero(new)[np.cumsum(new) - 1]
+        new |= (np.arange(len(places)) - run) % PIECE == 0
+        piece = np.cumsum(new) - 1
+        # the holders of all windows of each piece
+        n, many = sizes[at].astype(np.int64), held[spans(begin[at].astype(np.int64), sizes[at].astype(np.int64))].astype(np.int64)
+        both = np.unique(np.repeat(piece, n) << 32 | many)
+        cuts = np.searchsorted(both >> 32, np.arange(len(both) and int(both[-1] >> 32) + 2))
+        firsts = np.flatnonzero(new)
+        lasts = np.append(firsts[1:], len(places)) - 1
+        words, now = [], -1
+        for k, (a, b) in enumerate(zip(firsts.tolist(), lasts.tolist(), strict=True)):
+            if doc[a] != now:
+                now = int(doc[a])
+                words, start = words_of(block.texts[now]), int(block.starts[now])
+            text = b" ".join(words[int(places[a]) - start : int(places[b]) - start + WINDOW])
+            blocks = (both[cuts[k] : cuts[k + 1]] & 0xFFFFFFFF).astype(np.int32)
+            for c in range(0, len(blocks), DEALT):
+                texts.append(text)
+                holders.append(blocks[c : c + DEALT])
+    return pa.table([pa.array(texts, pa.binary()), pa.array(holders, pa.list_(pa.int32()))], names=["words", "holders"])
+
+
+#: What stands between documents and between passages where their words are laid out; no word, and not the same.
+GAP_DOCS, GAP_PASSAGES, GAP_SYMBOL = np.uint64(1), np.uint64(2), 1
+
+
+def laid_out(hashes: np.ndarray, starts: np.ndarray, gap: np.uint64) -> tuple[np.ndarray, np.ndarray]:
+    """The hashes with PHRASE gaps before each text and at the end, and where each text then starts."""
+    n = len(starts)
+    sizes = np.diff(np.append(starts, len(hashes)))
+    out = np.full(len(hashes) + PHRASE * (n + 1), gap)
+    to = starts + PHRASE * np.arange(1, n + 1)
+    out[spans(to, sizes)] = hashes
+    return out, to
+
+
+def symbols(hashes: np.ndarray, gap: np.uint64) -> str:
+    """A character for each word: what the automaton reads. Words may share one; hits are compared in full."""
+    codes = (np.uint64(0x10000) + hashes % np.uint64(0x100000)).astype("<u4")
+    codes[hashes == gap] = GAP_SYMBOL
+    return codes.tobytes().decode("utf-32-le")
+
+
+class Shard:
+    """The passages dealt to a block and the automaton of their phrases."""
+
+    def __init__(self, texts: list[bytes]):
+        self.words = [words_of(t) for t in texts]
+        hashes, sizes = hashed(texts)
+        self.hashes, self.starts = laid_out(hashes, np.cumsum(sizes) - sizes, GAP_PASSAGES)
+        text, number, self.places = symbols(self.hashes, GAP_PASSAGES), {}, []
+        for start, n in zip(self.starts.tolist(), sizes.tolist(), strict=True):
+            for at in range(start, start + n - PHRASE + 1, PHRASE):
+                phrase = text[at : at + PHRASE]
+                k = number.setdefault(phrase, len(number))
+                if k == len(self.places):
+                    self.places.append([])
+                self.places[k].append(at)
+        self.automaton = ahocorasick.Automaton()
+        for phrase, k in number.items():
+            self.automaton.add_word(phrase, k)
+        self.automaton.make_automaton()
+
+    def hits(self, text: str) -> tuple[np.ndarray, np.ndarray]:
+        """Where phrases stand in a laid-out text, each with every place it has in the passages."""
+        if not len(self.automaton):
+            return NONE, NONE
+        found = np.fromiter((x for pair in self.automaton.iter(text) for x in pair), np.int64).reshape(-1, 2)
+        sizes = np.fromiter(map(len, self.places), np.int64, len(self.places))
+        flat = np.fromiter((x for p in self.places for x in p), np.int64)
+        n, begin = sizes[found[:, 1]], (np.cumsum(sizes) - sizes)[found[:, 1]]
+        return np.repeat(found[:, 0] - PHRASE + 1, n), flat[spans(begin, n)]
+
+
+def same_words(doc: list[bytes], at: int, passage: list[bytes], place: int, low: int, high: int) -> tuple[int, int]:
+    """Of a hit at `at` and `place` that agrees by hashes from -low to +high words, how far the words themselves agree."""
+    if doc[at - low : at + high] == passage[place - low : place + high]:
+        return low, high
+    agree = list(map(eq, doc[at - low : at + high], passage[place - low : place + high]))
+    if not all(agree[low : low + PHRASE]):
+        return 0, 0
+    while not all(agree[:low]):
+        low, agree = low - 1, agree[1:]
+    return low, next((k - low for k in range(low, len(agree)) if not agree[k]), high)
+
+
+def covered_words(block: Block, texts: list[bytes], step: int = 1 << 16) -> np.ndarray:
+    """Which words of a block lie in a window that some passage holds."""
+    cover = np.zeros(len(block.hashes) + 1, np.int64)
+    if not texts or not len(block.hashes):
+        return cover[:-1] > 0
+    shard, side = Shard(texts), PHRASE - 1
+    hashes, starts = laid_out(block.hashes, block.starts, GAP_DOCS)
+    at, place = shard.hits(symbols(hashes, GAP_DOCS))
+    words, now = [], -1
+    for k in range(0, len(at), step):
+        a, p = at[k : k + step], place[k : k + step]
+        around = np.arange(-side, PHRASE + side)
+        agree = hashes[a[:, None] + around] == shard.hashes[p[:, None] + around]
+        low = np.logical_and.accumulate(agree[:, side - 1 :: -1], axis=1).sum(axis=1)
+        high = np.logical_and.accumulate(agree[:, side:], axis=1).sum(axis=1)
+        good = np.flatnonzero((high >= PHRASE) & (low + high >= WINDOW))
+        a, p, low, high = a[good], p[good], low[good], high[good]
+        doc, passage = np.searchsorted(starts, a, side="right") - 1, np.searchsorted(shard.starts, p, side="right") - 1
+        for d, x, q, y, m, n in zip(doc.tolist(), (a - starts[doc]).tolist(), passage.tolist(), (p - shard.starts[passage]).tolist(), low.tolist(), high.tolist(), strict=True):
+            if d != now:
+                words, now = words_of(block.texts[d]), d
+            m, n = same_words(words, x, shard.words[q], y, m, n)
+            if m + n >= WINDOW:
+                start = int(block.starts[d]) + x
+                cover[start - m] += 1
+                cover[start + n] -= 1
+    return np.cumsum(cover)[:-1] > 0
 
 
 RESULT = "doc_id long, n_words long, n_removed long, kept binary"
 
 
 def removed(digest_only: bool):
-    def send(key: tuple[pa.Scalar, ...], docs: pa.Table, windows: pa.Table) -> pa.Table:
-        if not docs.num_rows:
-            rows = []
-        else:
-            block = Block(docs.column("payload"), keep_texts=True)
-            confirmed = gathered(windows.column("found")) if windows.num_rows else np.zeros(0, np.uint64)
-            covered, rows = covered_words(block, confirmed), []
+    def send(key: tuple[pa.Scalar, ...], docs: pa.Table, found: pa.Table) -> pa.Table:
+        rows = []
+        if docs.num_rows:
+            block = Block(docs.column("payload"))
+            covered = covered_words(block, found.column("words").to_pylist())
             for doc_id, text, a, b in zip(block.ids, block.texts, block.starts.tolist(), block.ends.tolist(), strict=True):
-                gone = covered[a:b]
-                words = (text or b"").split()
-                kept = b" ".join(words if not gone.any() else [w for w, g in zip(words, gone.tolist(), strict=True) if not g])
+                gone, words = covered[a:b], words_of(text)
+                kept = b" ".join(compress(words, (~gone).tolist()) if gone.any() else words)
                 rows.append((doc_id, b - a, int(gone.sum()), hashlib.sha256(kept).hexdigest().encode() if digest_only else kept))
         columns = list(zip(*rows, strict=True)) or [[]] * 4
         kinds = (pa.int64(), pa.int64(), pa.int64(), pa.binary())
@@ -300,22 +452,24 @@ def dedup_phrases(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
 
     Windows are judged on the input. Null and empty texts have no words. Ids may be null or repeated: a repeated row
     is a document like any other, so its windows occur again. Other columns are not read. An empty table gives an empty
-    result. The memory of a task is some times `block`, or one document if that is larger.
+    result. The memory of a task is some times `block`, or one document if that is larger. `docs` must give the same rows
+    in the same partitions when it is read again after the loss of an executor, as tables and files do.
     """
     spark = docs.sparkSession
     python_ready(spark)
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("binary").alias("text"))
+    rows = docs.select(F.spark_partition_id().alias("part"), F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("binary").alias("text"))
     size, n = rows.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0)), F.count("*")).first()
     blocks = max(1, math.ceil(size / block), math.ceil(n / 50_000))
     buckets = max(1, math.ceil(size / 6 / 8 / BUCKET))
-    place = F.pmod(F.xxhash64("doc_id", "text"), F.lit(blocks)).cast("int").alias("block")
-    packed = rows.select(place, "doc_id", "text").mapInArrow(pack, "block int, payload binary")
+    packed = rows.mapInArrow(pack(blocks), "block int, payload binary")
     packed = packed.repartition(max(int(spark.conf.get("spark.sql.shuffle.partitions")), 1), "block")
     names = packed.groupBy("block").applyInArrow(candidates_of(buckets), PARTS)
     names = names.groupBy("bucket").applyInArrow(repeated, "block int, found binary")
     windows = packed.groupBy("block").cogroup(names.groupBy("block")).applyInArrow(windows_of(buckets), PARTS)
-    windows = windows.groupBy("bucket").applyInArrow(repeated, "block int, found binary")
-    return packed.groupBy("block").cogroup(windows.groupBy("block")).applyInArrow(removed(digest_only), RESULT)
+    owned = windows.groupBy("bucket").applyInArrow(owners, OWNED)
+    found = packed.groupBy("block").cogroup(owned.groupBy("block")).applyInArrow(passages, DEALT_PASSAGES)
+    found = found.select(F.explode("holders").alias("block"), "words")
+    return packed.groupBy("block").cogroup(found.groupBy("block")).applyInArrow(removed(digest_only), RESULT)
 
 
 def op4_substring_dedup(spark, sf_dir):
