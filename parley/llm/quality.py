@@ -1,23 +1,27 @@
 """Quality classifier: ordinal cumulative-link regression on graded ratings.
 
 P(grade >= k) = sigmoid(s - t_k) with one score s, a sum of shared weights over the distinct hashed features of the
-text, and ordered thresholds t_1 < t_2. Weights are at most 0: a feature can only speak against a text, so a short
-text with no evidence keeps the grade that most texts have. Features are words, their first letters, the signs that
-end them, capitals and immediate repeats; the whole text counts.
-
-Fitting takes a bounded sample of the rated rows (SAMPLE, by hash of the id, the same whatever the partitions) and
-the features that speak most against them (FEATURES, counted over the sample by Spark); scoring reads every document
-once, without a shuffle.
+text, and ordered thresholds t_1 < t_2. Features are words, their first letters, the signs that end them, capitals and
+immediate repeats; the whole text counts. Toxic texts stand between poor and good ones: they are whole language, so
+what tells poor texts tells little against them, and they are as unwanted.
+
+Weights have either sign, and every feature of the rated rows takes part; an L1 penalty leaves those at 0 that don't pay
+(a quasi-Newton method that keeps to one orthant a step). Fitting takes a bounded sample of the rated rows
+(SAMPLE, by hash of the id, the same whatever the partitions). Where documents are kept from is chosen on a part of
+them that a first fit has not seen: the tail probability at which CLEAN times the share of good texts lost and the
+share of others kept are least together. Scoring reads every document once, without a shuffle.
 """
 
 from __future__ import annotations
 
+import math
 from itertools import islice
 from operator import eq
 from string import punctuation
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -25,9 +29,10 @@ from pyspark.sql import types as T
 
 from .common import Workspace, hash128, python_ready, table
 
-SAMPLE, FEATURES, BUCKETS = 16_384, 4_096, 1 << 20
-Z_LEAST, ROUNDS, RATE, SHRINK = 4.0, 300, 0.1, 1e-5
-CUT = 0.7
+SAMPLE, BUCKETS = 16_384, 1 << 31
+#: The penalty is SPARSE over the root of the number of rated rows.
+SPARSE, ROUNDS, MEMORY, ENOUGH, PART = 0.04, 60, 8, 1e-4, 1 << 21
+CLEAN, HELD, CUT = 10.0, 5, 0.5
 GRADES = 3
 CACHED, LONGEST_CACHED = 400_000, 64
 
@@ -97,31 +102,92 @@ def sigmoid(x):
     return 1 / (1 + np.exp(-np.clip(x, -60, 60)))
 
 
-def fit_ordinal(rows: np.ndarray, features: np.ndarray, grades: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
-    """Weights and thresholds by gradient ascent (Adam) on the cumulative-link likelihood; (rows, features) are the pairs that occur."""
-    n = len(grades)
-    weights, limits = np.zeros(width), np.array([-3.0, -2.0])
-    m, v = np.zeros(width + 2), np.zeros(width + 2)
+def slopes(s: np.ndarray, limits: np.ndarray, grades: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Log-likelihood of each grade, its derivative by the score, and those by both thresholds."""
     is0, is1, is2 = (grades == k for k in range(GRADES))
-    for step in range(1, ROUNDS + 1):
-        s = np.bincount(rows, weights[features], n)
-        p1, p2 = sigmoid(s - limits[0]), sigmoid(s - limits[1])
-        likely = np.maximum(np.where(is0, 1 - p1, np.where(is1, p1 - p2, p2)), 1e-9)
-        d1, d2 = p1 * (1 - p1), p2 * (1 - p2)
-        by_score = np.where(is0, -d1, np.where(is1, d1 - d2, d2)) / likely
-        by_1 = np.where(is0, d1, np.where(is1, -d1, 0)) / likely
-        by_2 = np.where(is1, d2, np.where(is2, -d2, 0)) / likely
-        g = np.concatenate([np.bincount(features, by_score[rows], width) / n - SHRINK * weights, [by_1.mean(), by_2.mean()]])
-        m, v = 0.9 * m + 0.1 * g, 0.999 * v + 0.001 * g * g
-        move = RATE * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.999**step)) + 1e-8)
-        weights = np.minimum(weights + move[:width], 0)
-        limits = limits + move[width:]
-        limits[1] = max(limits[1], limits[0] + 1e-3)
-    return weights, limits
+    p1, p2 = sigmoid(s - limits[0]), sigmoid(s - limits[1])
+    likely = np.maximum(np.where(is0, 1 - p1, np.where(is1, p1 - p2, p2)), 1e-9)
+    d1, d2 = p1 * (1 - p1), p2 * (1 - p2)
+    by_score = np.where(is0, -d1, np.where(is1, d1 - d2, d2)) / likely
+    by_limits = np.array([np.where(is0, d1, np.where(is1, -d1, 0)) / likely, np.where(is1, d2, np.where(is2, -d2, 0)) / likely])
+    return np.log(likely), by_score, by_limits
+
+
+def limits_of(x: np.ndarray) -> np.ndarray:
+    """The parameters are the weights, the first threshold and the logarithm of the gap to the second."""
+    return np.array([x[-2], x[-2] + np.exp(x[-1])])
+
+
+def objective(x: np.ndarray, ends: np.ndarray, features: np.ndarray, grades: np.ndarray) -> tuple[float, np.ndarray]:
+    """Mean negative log-likelihood and its gradient. Row k has the features from ends[k - 1] to ends[k]."""
+    limits, g, total, at = limits_of(x), np.zeros(len(x)), 0.0, 0
+    begins = np.concatenate([[0], ends[:-1]])
+    while at < len(grades):
+        to = max(at + 1, int(np.searchsorted(ends, begins[at] + PART, side="right")))
+        held, row = features[begins[at] : ends[to - 1]], np.repeat(np.arange(to - at), (ends - begins)[at:to])
+        likely, by_score, by_limits = slopes(np.bincount(row, x[held], to - at), limits, grades[at:to])
+        total -= likely.sum()
+        g[:-2] -= np.bincount(held, by_score[row], len(x) - 2)
+        g[-2] -= by_limits.sum()
+        g[-1] -= by_limits[1].sum() * np.exp(x[-1])
+        at = to
+    return total / len(grades), g / len(grades)
+
+
+def fit_ordinal(ends: np.ndarray, features: np.ndarray, grades: np.ndarray, x: np.ndarray, rounds: int = ROUNDS) -> np.ndarray:
+    """The parameters of least objective() and L1 penalty of the weights, from x on."""
+    penalty = np.full(len(x), SPARSE / math.sqrt(len(grades)))
+    penalty[-2:] = 0
+    loss, g = objective(x, ends, features, grades)
+    whole, past = loss + penalty @ np.abs(x), []
+    for _ in range(rounds):
+        slope = np.where(x > 0, g + penalty, np.where(x < 0, g - penalty, np.where(g + penalty < 0, g + penalty, np.where(g > penalty, g - penalty, 0))))
+        down, shares = slope.copy(), []
+        for s, y, r in reversed(past):
+            shares.append(r * (s @ down))
+            down -= shares[-1] * y
+        down /= past[-1][2] * (past[-1][1] @ past[-1][1]) if past else max(1.0, np.linalg.norm(slope))
+        for (s, y, r), share in zip(past, reversed(shares), strict=True):
+            down += (share - r * (y @ down)) * s
+        down[down * slope <= 0] = 0
+        side, step = np.where(x != 0, np.sign(x), -np.sign(slope)), 1.0
+        while True:
+            new = x - step * down
+            new[:-2][new[:-2] * side[:-2] <= 0] = 0
+            loss, h = objective(new, ends, features, grades)
+            now = loss + penalty @ np.abs(new)
+            if now <= whole + 1e-4 * (slope @ (new - x)) or step < 1e-4:
+                break
+            step /= 2
+        s, y = new - x, h - g
+        if s @ y > 1e-12:
+            past = [*past, (s, y, 1 / (s @ y))][-MEMORY:]
+        done = whole - now < ENOUGH * whole
+        x, g, whole = new, h, now
+        if done:
+            break
+    return x
+
+
+def best_cut(tails: np.ndarray, good: np.ndarray) -> float:
+    """Between the tail probabilities of rated rows: where CLEAN times the share of good ones below and the share of
+    others above are least; in the middle of where that is so. CUT if all rows are of one kind."""
+    if good.all() or not good.any():
+        return CUT
+    at = np.concatenate([[0.0], np.unique(tails), [1.0]])
+    between = (at[:-1] + at[1:]) / 2
+    lost = np.searchsorted(np.sort(tails[good]), between) / good.sum()
+    kept = 1 - np.searchsorted(np.sort(tails[~good]), between) / (~good).sum()
+    cost = CLEAN * lost + kept
+    first = int(cost.argmin())
+    last = first
+    while last + 1 < len(cost) and cost[last + 1] <= cost[first] + 1e-12:
+        last += 1
+    return float((at[first] + at[last + 1]) / 2)
 
 
 def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", sample: int = SAMPLE):
-    """({feature: weight}, thresholds) or None if the rated rows are not of at least two grades.
+    """({feature: weight}, thresholds, cut) or None if the rated rows are not of at least two grades.
 
     Copies of a text count once, with their least grade.
     """
@@ -133,24 +199,22 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     rated = texts.join(F.broadcast(picked), "doc_id").select("grade", "text", *hash128(F.col("text")))
     rated = rated.select("grade", "h1", "h2", all_features("text").alias("features"))
     rated = rated.groupBy("h1", "h2").agg(F.min("grade").alias("grade"), F.first("features").alias("features"))
-    rated = work.write(rated, "rated")
-    n, low = rated.agg(F.count("*"), F.count_if(F.col("grade") < 2)).first()
-    if not 0 < low < n:
-        return None
-    p = low / n
-    seen = rated.select("grade", F.explode("features").alias("f")).groupBy("f").agg(F.count("*").alias("n"), F.count_if(F.col("grade") < 2).alias("low"))
-    z = (F.col("low") - F.col("n") * p) / F.sqrt(F.col("n") * (p * (1 - p)) + 1)
-    top = seen.select("f", z.alias("z")).filter(F.col("z") > Z_LEAST).orderBy(F.desc("z"), "f").limit(FEATURES)
-    names = np.array(sorted(r.f for r in top.collect()), np.int64)
-    if not len(names):
+    found = work.write(rated, "rated").orderBy("h1", "h2").toArrow()
+    grades = found.column("grade").to_numpy()
+    if len(np.unique(grades)) < 2:
         return None
-    held = F.array_intersect("features", F.array(*[F.lit(int(f)) for f in names]))
-    found = rated.select("grade", held.alias("f")).toPandas()
-    sizes = found["f"].map(len).to_numpy()
-    rows = np.repeat(np.arange(len(found)), sizes)
-    features = np.searchsorted(names, np.concatenate([*found["f"], np.zeros(0, np.int64)]).astype(np.int64))
-    weights, limits = fit_ordinal(rows, features, found["grade"].to_numpy(), len(names))
-    return {int(f): float(w) for f, w in zip(names, weights, strict=True) if w < 0}, limits.tolist()
+    ends = np.cumsum(pc.list_value_length(found.column("features")).to_numpy())
+    names, features = np.unique(pc.list_flatten(found.column("features")).to_numpy(), return_inverse=True)
+    features = features.astype(np.int32)
+    # the rows come in order of their hashes, so the last ones are as good a part as any
+    seen = len(grades) - len(grades) // HELD
+    x = np.zeros(len(names) + 2)
+    x[-2:] = -2.5, math.log(0.7)
+    x = fit_ordinal(ends[:seen], features, grades[:seen], x)
+    scores = np.bincount(np.repeat(np.arange(len(grades)), np.diff(ends, prepend=0)), x[features], len(grades))[seen:]
+    cut = best_cut(sigmoid(scores - limits_of(x)[1]), grades[seen:] == GRADES - 1)
+    x = fit_ordinal(ends, features, grades, x)
+    return {int(names[k]): float(x[k]) for k in np.flatnonzero(x[:-2])}, limits_of(x).tolist(), cut
 
 
 _tokens: dict = {}
@@ -173,16 +237,17 @@ def score_udf(weights: dict[int, float], limits: list[float]):
     return scores
 
 
-def rate(docs: DataFrame, fitted, text_col: str = "text", cut: float = CUT) -> DataFrame:
+def rate(docs: DataFrame, fitted, text_col: str = "text", cut: float | None = None) -> DataFrame:
     """All columns of `docs` in a struct `row`, with `expected_grade` (0 to 2), `tail_probability` of the best grade and
-    `kept`, whether that is at least `cut`. Null and empty texts have no feature, so they get what a text without evidence
-    gets. With nothing fitted the scores are null and all rows are kept. Repeated rows stay."""
+    `kept`, whether that is at least `cut`, by default the one that was fitted. Null and empty texts have no feature, so
+    they get what a text without evidence gets. With nothing fitted the scores are null and all rows are kept. Repeated rows stay."""
     rows = docs.select(F.struct("*").alias("row"))
     if fitted is None:
         null = F.lit(None).cast("double")
         return rows.select("row", null.alias("expected_grade"), null.alias("tail_probability"), F.lit(True).alias("kept"))
-    scored = rows.select("row", score_udf(*fitted)(F.col(f"row.{text_col}")).alias("s"))
-    return scored.select("row", "s.*").withColumn("kept", F.col("tail_probability") >= cut)
+    weights, limits, chosen = fitted
+    scored = rows.select("row", score_udf(weights, limits)(F.col(f"row.{text_col}")).alias("s"))
+    return scored.select("row", "s.*").withColumn("kept", F.col("tail_probability") >= (chosen if cut is None else cut))
 
 
 def op2_quality_classifier(spark, sf_dir):

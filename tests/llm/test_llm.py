@@ -88,6 +88,66 @@ def test_quality_without_ratings_keeps_all(spark):
     assert [r["kept"] for r in quality.rate(clash(docs), quality.fit(docs, none)).collect()] == [True, True]
 
 
+def test_ordinal_objective_and_its_gradient():
+    rng = np.random.default_rng(5)
+    sizes = rng.integers(0, 6, 30)
+    ends, grades, x = np.cumsum(sizes), rng.integers(0, 3, 30), rng.normal(size=10)
+    features = np.concatenate([rng.choice(8, n, replace=False) for n in sizes])
+    loss, g = quality.objective(x, ends, features, grades)
+    low, high, total = x[8], x[8] + np.exp(x[9]), 0.0
+    for k, grade in enumerate(grades):
+        s = sum(x[f] for f in features[ends[k] - sizes[k] : ends[k]])
+        above = [1.0, 1 / (1 + np.exp(low - s)), 1 / (1 + np.exp(high - s)), 0.0]
+        total -= np.log(above[grade] - above[grade + 1])
+    assert loss == pytest.approx(total / 30)
+    for k in range(10):
+        e = np.eye(10)[k] * 1e-6
+        assert g[k] == pytest.approx((quality.objective(x + e, ends, features, grades)[0] - quality.objective(x - e, ends, features, grades)[0]) / 2e-6, abs=1e-6)
+
+
+def test_quality_weights_of_either_sign_are_at_the_optimum(monkeypatch):
+    monkeypatch.setattr(quality, "ENOUGH", 1e-9)
+    rng = np.random.default_rng(6)
+    features = np.concatenate([np.flatnonzero(rng.random(12) < 0.4) for _ in range(400)] + [np.zeros(0, int)])
+    sizes = np.diff(np.flatnonzero(np.diff(features, prepend=99, append=-1) <= 0)).tolist()
+    ends, n = np.cumsum(sizes), len(sizes)
+    score = np.bincount(np.repeat(np.arange(n), sizes), np.array([3, -3, 2] + [0] * 9)[features], n) + rng.logistic(size=n)
+    grades = (score > -1).astype(int) + (score > 1)
+    start = np.append(np.zeros(12), [-1.0, 0.0])
+    x = quality.fit_ordinal(ends, features, grades, start, 400)
+    assert x[0] > 1 and x[1] < -1 and x[2] > 0.7
+    penalty = quality.SPARSE / np.sqrt(n)
+    g = quality.objective(x, ends, features, grades)[1]
+    assert np.abs(g[12:]).max() < 1e-3
+    assert all(abs(g[k] + np.sign(x[k]) * penalty) < 1e-3 if x[k] else abs(g[k]) <= penalty + 1e-3 for k in range(12))
+
+
+def test_quality_query_is_the_model_s_score(spark):
+    rng = random.Random(3)
+    rows = [(i, " ".join(rng.choice(["fine", "text", "here", "there", "awful" if i % 2 else "nice"]) for _ in range(30))) for i in range(200)]
+    docs = documents(spark, rows + [(None, None), (900, ""), (901, "awful " * 40_000), (5, rows[5][1])])
+    labels = spark.createDataFrame([(i, 1 - i % 2, 0) for i in range(150)], "doc_id long, quality int, toxic int")
+    weights, limits, cut = quality.fit(clash(docs), labels)
+    got = quality.rate(clash(docs).withColumns({"s": F.lit(1), "row": F.lit(2), "expected_grade": F.lit(3)}), (weights, limits, cut)).select("row.doc_id", "row.text", "expected_grade", "tail_probability", "kept").collect()
+    assert len(got) == 204 and all(v > 0 or v < 0 for v in weights.values())
+    for r in got:
+        words = (r["text"] or "").split()
+        held = {quality.bucket(x) for w in words for x in ["w" + w, *(f"{k}{w[:k]}" for k in (4, 5) if len(w) > k)]}
+        same = sum(a == b for a, b in zip(words, words[1:], strict=False))
+        held |= {x for x, share in zip(quality.REPEATS, (0.05, 0.25), strict=True) if same >= 5 and same > share * len(words)}
+        s = sum(weights.get(x, 0.0) for x in held)
+        above = [1 / (1 + np.exp(t - s)) for t in limits]
+        assert (r["expected_grade"], r["tail_probability"]) == (pytest.approx(sum(above)), pytest.approx(above[1])) and r["kept"] == (r["tail_probability"] >= cut)
+    assert quality.rate(docs.limit(0), (weights, limits, cut)).count() == 0 and quality.fit(docs.limit(0), labels) is None
+
+
+def test_quality_cut_is_between_good_and_other_rows():
+    good = np.array([False, False, True, True])
+    assert quality.best_cut(np.array([0.1, 0.2, 0.6, 0.9]), good) == pytest.approx(0.4)
+    assert quality.best_cut(np.array([0.5, 0.5, 0.5, 0.5]), good) < 0.5  # rather all than a good one lost
+    assert quality.best_cut(np.array([0.5]), np.array([True])) == quality.CUT
+
+
 # 3
 
 
