@@ -6,7 +6,9 @@ together gives just those two again, and minus infinity if not: the one path tha
 text gives, since the first merge across a border would also happen with only the two neighbours there.
 
 Giant documents are cut into chunks. A chunk gives the max-plus matrix of its boundary states (which piece covers the
-border); matrices are combined associatively into each border's state; each chunk is then traced back by itself.
+border). Matrices are combined associatively, FAN neighbours at a time, in a tree of steps over all documents at once;
+on the way back down each step finds the states between the neighbours of the one above, so a task holds FAN matrices
+whatever the length of a document; each chunk is then traced back by itself.
 Where no piece can lie across a place (before a white space sign after another character), all states are one, so
 the words between such places are solved once and remembered, and short documents are a single chunk with one state.
 """
@@ -17,7 +19,8 @@ import re
 import sys
 import uuid
 from array import array
-from functools import cache
+from collections import defaultdict
+from functools import cache, reduce
 
 import numpy as np
 import pandas as pd
@@ -32,7 +35,8 @@ from .common import Workspace, python_ready, table
 SPACE = "▁"
 WORD = re.compile(f"{SPACE}+[^{SPACE}]*|[^{SPACE}]+")
 CHUNK, GIANT = 16_384, 32_768
-CACHED, FITS, LONGEST_CACHED = 700_000, 200_000, 48
+CACHED, FITS, LONGEST_CACHED = 600_000, 600_000, 48
+FAN, CHAR = 16, 1 << 20
 NO = -np.inf
 CLOSING = {*".,;:!?"}
 FREE = (0, 0)
@@ -63,13 +67,20 @@ class Model:
         self.steps, self.halves = {*self.ids}, {}
         if self.bpe:
             self.note_merges()
-        #: By the first three characters, the lengths of the pieces that begin so.
-        self.sizes: dict[str, list[int]] = {}
-        for t in self.steps:
-            if len(t) > 2:
-                self.sizes.setdefault(t[:3], []).append(len(t))
-        for lengths in self.sizes.values():
-            lengths.sort()
+        #: By the first characters, four at most, what can begin so, longest first: its length, and its number if the
+        #: characters are all of it.
+        self.begun: dict[str, list[tuple[int, int | None]]] = {}
+        self.numbers = {t: self.ids[t] for t in self.steps}
+        for t in sorted(self.steps, key=len):
+            start, size = t[:4], len(t)
+            if start not in self.begun:
+                shorter = [(k, self.numbers[t[:k]]) for k in range(min(size, 4), 1, -1) if t[:k] in self.numbers]
+                self.begun[start] = [*shorter, (1, self.number(t[0]))]
+            if size > 4 and self.begun[start][0][0] != size:
+                self.begun[start].insert(0, (size, None))
+        #: By a piece's number, whether that of another may follow.
+        self.after: dict[int, dict[int, bool]] = defaultdict(dict)
+        self.known = 0
         #: A line's end that is in no piece stands alone, so words can be cut there.
         self.line_end = self.coded(["\n"]) if not any("\n" in t for t in self.ids) else None
         self.words = Solved(self)
@@ -289,31 +300,53 @@ class Model:
         return array("i", out).tobytes()
 
     def solve(self, word: str) -> bytes:
-        """A text by itself, as one chunk."""
+        """A text by itself, as one chunk with one state at either end."""
         if not self.bpe:
             return self.path(word, 0, "", len(word), (len(word), None)) if word else b""
-        # as walk() with a single way in: at most one piece can end at each place
-        n, steps, fits, follows, sizes = len(word), self.steps, self.fits, self.follows, self.sizes
-        ending = [""] * (n + 1)
-        for place in range(n):
-            last = ending[place]
-            if place and not last:
-                continue
-            for size in (1, 2, *sizes.get(word[place : place + 3], ())):
+        # All finite sums are 0 and at most one piece can end at a place, so the best path is the only one there is: the
+        # longest pieces are tried first, and a place from which no path goes on is not entered again.
+        n, numbers, begun, after = len(word), self.numbers, self.begun, self.after
+        place, last, k, ways, row = 0, -1, 0, begun.get(word[:4]) or self.ways(word, 0), {}
+        back, dead, found = [], set(), []
+        while place < n:
+            for k in range(k, len(ways)):
+                size, i = ways[k]
                 end = place + size
-                if end > n:
+                if end > n or end in dead or (i is None and (i := numbers.get(word[place:end])) is None):
+                    continue
+                if last < 0 or self.stands(last, i) if (ok := row.get(i)) is None else ok:
+                    back.append((place, last, k + 1, ways, row))
+                    found.append(i)
+                    place, last, k, ways, row = end, i, 0, begun.get(word[end : end + 4]) or self.ways(word, end), after[i]
                     break
-                if not ending[end]:
-                    t = word[place:end]
-                    if size == 1 or t in steps:
-                        ok = fits.get((last, t))
-                        if follows(last, t) if ok is None else ok:
-                            ending[end] = t
-        parts = []
-        while n:
-            parts.append(ending[n])
-            n -= len(ending[n])
-        return self.coded(parts[::-1])
+            else:
+                dead.add(place)
+                found.pop()
+                place, last, k, ways, row = back.pop()
+        if max(found, default=0) < CHAR:
+            return array("i", found).tobytes()
+        return self.coded(list(map(self.shape, found)))
+
+    def number(self, c: str) -> int:
+        """Of a single character, in the vocabulary or not."""
+        return self.ids.get(c, CHAR + ord(c))
+
+    def shape(self, i: int) -> str:
+        return chr(i - CHAR) if i >= CHAR else self.names[i]
+
+    def ways(self, word: str, at: int) -> list[tuple[int, int | None]]:
+        """As `begun`, from fewer characters."""
+        return next((found for k in (3, 2) if (found := self.begun.get(word[at : at + k]))), None) or [(1, self.number(word[at]))] if at < len(word) else []
+
+    def stands(self, last: int, i: int) -> bool:
+        """follows(), remembered by numbers."""
+        if self.known >= FITS:
+            self.after.clear()
+            self.known = 0
+        a, b = self.shape(last), self.shape(i)
+        ok = self.after[last][i] = self.merge(a + b) == [a, b] if SPACE * 2 in a + b else self.stays_apart(a, b)
+        self.known += 1
+        return ok
 
     def encode(self, text: str | None) -> bytes:
         """Identifiers as 32-bit numbers."""
@@ -434,18 +467,41 @@ def combine(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return np.max(a[:, :, None] + b[None, :, :], axis=1)
 
 
-def border_states(pdf: pd.DataFrame) -> pd.DataFrame:
-    """All matrices of one document -> the state at either end of each chunk on the best path. The matrices of the
-    longest string there can be are some MB."""
-    pdf = pdf.sort_values("k")
-    mats = [np.frombuffer(s).reshape(r, -1) for r, s in zip(pdf["rows"], pdf["sums"], strict=True)]
-    upto = [np.zeros((1, 1))]
+def combined(group: pd.DataFrame) -> pd.DataFrame:
+    """The matrices of neighbours -> that of all of them together."""
+    group = group.sort_values("k")
+    whole = reduce(combine, (np.frombuffer(s).reshape(r, -1) for r, s in zip(group["rows"], group["sums"], strict=True)))
+    return pd.DataFrame({"uid": group["uid"][:1], "k": group["k"][:1] // FAN, "rows": len(whole), "sums": [whole.tobytes()]})
+
+
+def states_between(group: pd.DataFrame, above: pd.DataFrame) -> pd.DataFrame:
+    """The matrices of neighbours and the states at both ends of all of them together -> the states at either end of each
+    on the best path."""
+    group = group.sort_values("k")
+    mats = [np.frombuffer(s).reshape(r, -1) for r, s in zip(group["rows"], group["sums"], strict=True)]
+    upto, way = [np.where(np.arange(len(mats[0])) == above["way"].iloc[0], 0, NO)[None]], [0] * len(mats) + [int(above["exit"].iloc[0])]
     for m in mats:
         upto.append(combine(upto[-1], m))
-    way = [0] * (len(mats) + 1)
     for k in range(len(mats) - 1, -1, -1):
         way[k] = int(np.argmax(upto[k][0] + mats[k][:, way[k + 1]]))
-    return pd.DataFrame({"uid": pdf["uid"], "k": pdf["k"], "way": way[:-1], "exit": way[1:]})
+    return pd.DataFrame({"uid": group["uid"], "k": group["k"], "way": way[:-1], "exit": way[1:]})
+
+
+def border_states(work: Workspace, sums: DataFrame) -> DataFrame:
+    """`sums(uid, k, rows, sums)`: all chunks' matrices -> `uid, k, way, exit`: the states at either end of each chunk on the
+    best path, by a tree of steps up and down."""
+    levels = [work.write(sums, "matrices0")]
+    most = levels[0].agg(F.max("k")).first()[0] or 0
+    node = (F.col("k") / FAN).cast("int").alias("node")
+    while most:
+        up = levels[-1].withColumn("node", node).groupBy("uid", "node").applyInPandas(lambda pdf: combined(pdf), "uid string, k int, rows int, sums binary")
+        levels.append(work.write(up, f"matrices{len(levels)}"))
+        most //= FAN
+    states = levels[-1].select("uid", "k", F.lit(0).alias("way"), F.lit(0).alias("exit"))
+    for level, parts in reversed([*enumerate(levels[:-1])]):
+        down = parts.withColumn("node", node).groupBy("uid", "node").cogroup(states.withColumnRenamed("k", "node").groupBy("uid", "node"))
+        states = work.write(down.applyInPandas(lambda a, b: states_between(a, b), "uid string, k int, way int, exit int"), f"states{level}")
+    return states
 
 
 def trace_udf(path: str):
@@ -476,7 +532,7 @@ def encode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "
     schema = ", ".join(f"{a} {b}" for a, b in zip(names[::2], names[1::2], strict=True))
     parts = work.write(rows.filter(F.char_length("text") > giant).mapInArrow(cut_giants(path, chunk), schema), "chunks")
     sums = parts.select("uid", "k", matrix_udf(path)("part", "start", "end").alias("m")).select("uid", "k", "m.*")
-    borders = sums.groupBy("uid").applyInPandas(border_states, "uid string, k int, way int, exit int")
+    borders = border_states(work, sums)
     traced = parts.join(borders, ["uid", "k"]).select("uid", "doc_id", "k", trace_udf(path)("part", "start", "end", "way", "exit").alias("ids"))
     long = traced.groupBy("uid").agg(F.first("doc_id").alias("doc_id"), F.array_sort(F.collect_list(F.struct("k", "ids"))).alias("all"))
     return short.unionAll(long.select("doc_id", F.flatten("all.ids")))

@@ -151,10 +151,12 @@ def test_quality_cut_is_between_good_and_other_rows():
 # 3
 
 
-def test_pieces_are_the_library_s_and_decode_back(spark, mixed_docs):
+@pytest.mark.parametrize("chunk", [40, 7])
+def test_pieces_are_the_library_s_and_decode_back(spark, mixed_docs, chunk):
+    """With chunks of 7 the longest texts have over FAN of them, so the tree has several levels."""
     library = sentencepiece.SentencePieceProcessor(model_file=PIECES)
     rows = mixed_docs + [(100 + k, t) for k, t in enumerate(odd_texts(40, 9, 300))] + [(200, "a" * 500), (201, "the in" * 90)]
-    found = pieces.decode(pieces.encode(clash(documents(spark, rows)), PIECES, chunk=40, giant=80), PIECES).collect()
+    found = pieces.decode(pieces.encode(clash(documents(spark, rows)), PIECES, chunk=chunk, giant=2 * chunk), PIECES).collect()
     want = [(i, library.encode(t or ""), library.decode(library.encode(t or ""))) for i, t in rows]
     assert sorted(str((r["doc_id"], r["ids"], r["decoded"])) for r in found) == sorted(map(str, want))
     assert pieces.encode(documents(spark, []), PIECES).count() == 0
@@ -184,6 +186,23 @@ def test_max_plus_scan_of_a_unigram_model():
         assert total.shape == (1, 1) and total[0, 0] == pytest.approx(score(library.encode(text[1:].replace("▁", " "))), abs=1e-2)
 
 
+def test_words_solve_as_the_library_does():
+    model, library = pieces.model(PIECES), sentencepiece.SentencePieceProcessor(model_file=PIECES)
+    rng = random.Random(7)
+    parts = [*"aeinstr.,-é漢𓀀1", "th", "tion", "er", "ing", "and", "The", "ou", "##", "...", "!!", "\u0301"]
+    words = ["".join(rng.choice(parts) for _ in range(rng.randint(1, 12))) for _ in range(3000)]
+    assert all(np.frombuffer(model.solve(pieces.SPACE + w), np.int32).tolist() == library.encode(w) for w in words)
+
+
+def test_a_text_over_the_bound_for_giants_is_the_library_s(spark):
+    rng = random.Random(11)
+    text = " ".join("".join(rng.choice(["th", "er", "in", "x", "é", "\n"]) for _ in range(rng.randint(1, 9))) for _ in range(12_000))
+    assert len(text) > 2 * pieces.GIANT
+    library = sentencepiece.SentencePieceProcessor(model_file=PIECES)
+    got = pieces.encode(documents(spark, [(1, text), (2, "x" * (pieces.GIANT + 1)), (3, "short")]), PIECES).collect()
+    assert {r["doc_id"]: r["ids"] for r in got} == {1: library.encode(text), 2: library.encode("x" * (pieces.GIANT + 1)), 3: library.encode("short")}
+
+
 def hash_score(piece: str) -> float:
     return 3 + xxhash.xxh32_intdigest(piece) % 1000 / 100
 
