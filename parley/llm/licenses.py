@@ -2,7 +2,7 @@
 
 A text and each of its lines are brought to a canonical form (case, punctuation, copyright lines, equivalent
 spellings); entire texts are joined by digest to the known licence texts, and entire lines to the known one-line
-notices. The known table has a fixed size, KNOWN below, so it is broadcast.
+notices. The known table has a fixed size, KNOWN and DIGESTS below, so it is broadcast.
 """
 
 from __future__ import annotations
@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import UPPER, LOWER, table
+from .common import table
 
 # Public licence texts and the usual one-line notices.
 MIT = """Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the "Software"), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so, subject to the following conditions:
@@ -31,7 +31,18 @@ Permission is granted to anyone to use this software for any purpose, including
 APACHE_NOTICE = """Licensed under the Apache License, Version 2.0 (the "License"); you may not use this file except in compliance with the License. You may obtain a copy of the License at
 http://www.apache.org/licenses/LICENSE-2.0
 Unless required by applicable law or agreed to in writing, software distributed under the License is distributed on an "AS IS" BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied. See the License for the specific language governing permissions and limitations under the License."""
+UNLICENSE = """This is free and unencumbered software released into the public domain.
+Anyone is free to copy, modify, publish, use, compile, sell, or distribute this software, either in source code form or as a compiled binary, for any purpose, commercial or non-commercial, and by any means.
+In jurisdictions that recognize copyright laws, the author or authors of this software dedicate any and all copyright interest in the software to the public domain. We make this dedication for the benefit of the public at large and to the detriment of our heirs and successors. We intend this dedication to be an overt act of relinquishment in perpetuity of all present and future rights to this software under copyright law.
+THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE.
+For more information, please refer to <http://unlicense.org/>"""
+BOOST = """Boost Software License - Version 1.0 - August 17th, 2003
+Permission is hereby granted, free of charge, to any person or organization obtaining a copy of the software and accompanying documentation covered by this license (the "Software") to use, reproduce, display, distribute, execute, and transmit the Software, and to prepare derivative works of the Software, and to permit third-parties to whom the Software is furnished to do so, all subject to the following:
+The copyright notices in the Software and this entire statement, including the above license grant, this restriction and the following disclaimer, must be included in all copies of the Software, in whole or in part, and all derivative works of the Software, unless such copies or derivative works are solely in the form of machine-executable object code generated by a source language processor.
+THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE, TITLE AND NON-INFRINGEMENT. IN NO EVENT SHALL THE COPYRIGHT HOLDERS OR ANYONE DISTRIBUTING THE SOFTWARE BE LIABLE FOR ANY DAMAGES OR OTHER LIABILITY, WHETHER IN CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE."""
 KNOWN = [
+    ("Unlicense", UNLICENSE),
+    ("BSL-1.0", BOOST),
     ("MIT", "MIT License\n" + MIT),
     ("MIT", "The MIT License (MIT)\n" + MIT),
     ("MIT", MIT),
@@ -62,6 +73,22 @@ KNOWN = [
     ("CC-BY-SA-4.0", "Licensed under CC BY-SA 4.0."),
     ("CC0-1.0", "Released under CC0 1.0."),
 ]
+#: Of full texts as their publishers give them: SHA-256 of the canonical words.
+DIGESTS = [
+    ("Apache-2.0", "1072bf8e6b124a462143825bb4174a903d78d4f02f88d6d7b21c9fe3b0d5ec37"),
+    ("GPL-1.0", "b4583e68db0c858fa1b9028c689e3bddd78f836f274e963327fa158ec729531d"),
+    ("GPL-2.0", "8ceef37851021afc07e4d5138e4c1c58b285e876796ca1a6cfa5eaa9ffaea599"),
+    ("GPL-3.0", "b4c42912d85182abb09e39f33b791d93201ac133838d0f9972b735a3e52acbff"),
+    ("LGPL-2.0", "f917eb230a461b72c0d7845f5737ef74651abb0524547082a9645bc154d5ecd4"),
+    ("LGPL-2.1", "06f44ebf9515e6c412985cf8f2c6b133e91f457a1f520a900164472a54c1dc58"),
+    ("LGPL-3.0", "99c1a85dc9c673acfd6a330c4a68bd319185c3d6b8f4888157bf159e2ee60285"),
+    ("MPL-1.1", "0236badbb144d8d61046208ce82219cd2edde11f12de18d53139ce59e41dda4f"),
+    ("MPL-2.0", "3c7d13b57944d2c12bc1828087d106d9d301aa0b3b8aaf9145d9f81cbf444e4d"),
+    ("CC0-1.0", "92f195ae84ff559b03177551e6c1166f57d3cc30f5a7d806b4039e24906bd8de"),
+    ("GFDL-1.2", "1dd1a849fa2dc97e0f44bcd0633120fb93af5b40e715825dfcc41c3c488b9ec7"),
+    ("GFDL-1.3", "f148d4624171c7c783ac40301fe48f5ed02e4b3a205d0e4fa348b4f180a7f371"),
+    ("Artistic-1.0", "4830b8c89ffe1c2d5a0734390441c41e05f2ab57847fd3e8612e425d9af2c2fe"),
+]
 #: Spellings that count as the same word or phrase, between single spaces.
 SAME = [
     ("licence", "license"), ("licences", "licenses"), ("licenced", "licensed"), ("sublicence", "sublicense"), ("sub license", "sublicense"),
@@ -70,33 +97,44 @@ SAME = [
     ("per cent", "percent"), ("https", "http"), ("version", "v"), ("v 3 0", "v 3"), ("v 2 0", "v 2"), ("v3 0", "v 3"), ("v3", "v 3"), ("v2", "v 2"),
 ]
 QUOTES, PLAIN = "‘’‚“”„–—‐‑", "''''''----"
+#: Capitals of the Latin, Greek and Cyrillic scripts and their small letters.
+CAPITALS = "".join(chr(c) for c in range(0x41, 0x530) if len(chr(c).lower()) == 1 and chr(c).lower() != chr(c))
+SMALL = CAPITALS.lower()
 #: Lines that name owners, not terms, after lower-casing and the change of signs; `^` and `$` are ends of lines.
 OWNER = r"^[^a-z0-9\n]*(copyright [^a-z\n]*[0-9(][^\n]*|copyright \(c\)[^\n]*|\(c\) [^\n]*|all rights reserved[^a-z0-9\n]*)$"
 OWNER_SIGNS = ("copyright ", "(c)", "all rights reserved")
-NOT_WORD = r"[^a-z0-9\n\x{80}-\x{10FFFF}]+"
+#: All but letters, digits and line ends; beyond Latin, blocks that hold signs only.
+NOT_WORD = r"[^a-z0-9\n\x{AA}\x{B5}\x{BA}\x{C0}-\x{D6}\x{D8}-\x{F6}\x{F8}-\x{1FFF}\x{2C00}-\x{2DFF}\x{3040}-\x{FDFF}\x{FE70}-\x{FEFE}\x{FF10}-\x{FF19}\x{FF21}-\x{FF3A}\x{FF41}-\x{FF5A}\x{FF66}-\x{FFDC}\x{10000}-\x{10FFFF}]+"
+
+
+def doubled(phrase: str) -> str:
+    return f" {phrase.replace(' ', '  ')} "
 
 
 def canonical(rows: DataFrame, text: str) -> DataFrame:
     """Replaces column `text` by `lines`, the lines as words in lower case between single spaces, with one at either
     end, and `whole`, the words of all lines. Owner lines become blank. Each pass is a column of its own, made once."""
     rest = [c for c in rows.columns if c != text]
-    low = F.translate(F.coalesce(F.col(text), F.lit("")), QUOTES + UPPER, PLAIN + LOWER)
+    low = F.translate(F.coalesce(F.col(text), F.lit("")), QUOTES + CAPITALS, PLAIN + SMALL)
     rows = rows.select(*rest, F.concat(F.lit("\n"), F.replace(low, F.lit("©"), F.lit("(c)")), F.lit("\n")).alias("low"))
     owned = F.contains("low", F.lit(OWNER_SIGNS[0])) | F.contains("low", F.lit(OWNER_SIGNS[1])) | F.contains("low", F.lit(OWNER_SIGNS[2]))
     rows = rows.select(*rest, F.when(owned, F.regexp_replace("low", "(?md)" + OWNER, "")).otherwise(F.col("low")).alias("low"))
     spaced = F.replace(F.regexp_replace("low", NOT_WORD, " "), F.lit("\n"), F.lit(" \n "))
-    out = F.replace(spaced, F.lit("  "), F.lit(" "))
+    spaced = F.replace(F.replace(spaced, F.lit("   "), F.lit(" ")), F.lit("  "), F.lit(" "))  # a line without words has three
+    # two spaces between words while spellings change, so that neighbours don't share one
+    out = F.replace(spaced, F.lit(" "), F.lit("  "))
     for was, now in SAME:
-        out = F.replace(out, F.lit(f" {was} "), F.lit(f" {now} "))
-    rows = rows.select(*rest, out.alias("out"))
+        out = F.replace(out, F.lit(doubled(was)), F.lit(doubled(now)))
+    rows = rows.select(*rest, F.replace(out, F.lit("  "), F.lit(" ")).alias("out"))
     return rows.select(*rest, F.split("out", "\n", -1).alias("lines"), F.trim(F.replace("out", F.lit("\n "), F.lit(""))).alias("whole"))
 
 
 def known_licenses(spark) -> DataFrame:
-    """`digest, license_id, line`: of KNOWN; `line` is the canonical line of notices of one line, else null."""
+    """`digest, license_id, line`: of KNOWN and DIGESTS; `line` is the canonical line of notices of one line, else null."""
     known = canonical(spark.createDataFrame(KNOWN, "license_id string, known string"), "known")
     lines = F.filter("lines", lambda x: x != " ")
-    return known.select(F.sha2("whole", 256).alias("digest"), "license_id", F.when(F.size(lines) == 1, lines[0]).alias("line")).distinct()
+    known = known.select(F.sha2("whole", 256).alias("digest"), "license_id", F.when(F.size(lines) == 1, lines[0]).alias("line"))
+    return known.unionAll(spark.createDataFrame([(d, i, None) for i, d in DIGESTS], "digest string, license_id string, line string")).distinct()
 
 
 def scan_licenses(docs: DataFrame, known: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -132,11 +170,11 @@ def quoted(s: str) -> str:
 
 
 def sql_canonical(text: str) -> str:
-    low = f"(chr(10) || replace(translate(translate(coalesce({text}, ''), {quoted(QUOTES)}, {quoted(PLAIN)}), '{UPPER}', '{LOWER}'), '©', '(c)') || chr(10))"
-    out = f"replace(replace(regexp_replace(regexp_replace({low}, {quoted('(?m)' + OWNER)}, '', 'g'), '{NOT_WORD}', ' ', 'g'), chr(10), ' ' || chr(10) || ' '), '  ', ' ')"
+    low = f"(chr(10) || replace(translate(translate(coalesce({text}, ''), {quoted(QUOTES)}, {quoted(PLAIN)}), '{CAPITALS}', '{SMALL}'), '©', '(c)') || chr(10))"
+    out = f"replace(replace(replace(replace(regexp_replace(regexp_replace({low}, {quoted('(?m)' + OWNER)}, '', 'g'), '{NOT_WORD}', ' ', 'g'), chr(10), ' ' || chr(10) || ' '), '   ', ' '), '  ', ' '), ' ', '  ')"
     for was, now in SAME:
-        out = f"replace({out}, ' {was} ', ' {now} ')"
-    return out
+        out = f"replace({out}, '{doubled(was)}', '{doubled(now)}')"
+    return f"replace({out}, '  ', ' ')"
 
 
 SQL = f"""
@@ -145,7 +183,8 @@ known_out AS (SELECT license_id, {sql_canonical("known")} AS out FROM known_text
 known_lines AS (SELECT license_id, out, list_filter(string_split(out, chr(10)), lambda l: l <> ' ') AS lines FROM known_out),
 known AS (
   SELECT DISTINCT license_id, sha256(trim(replace(out, chr(10) || ' ', ''), ' ')) AS digest, CASE WHEN len(lines) = 1 THEN lines[1] END AS line
-  FROM known_lines),
+  FROM known_lines
+  UNION SELECT license_id, digest, NULL FROM (VALUES {", ".join(f"('{i}', '{d}')" for i, d in DIGESTS)}) full_texts(license_id, digest)),
 doc_out AS (SELECT row_number() OVER () AS r, doc_id, {sql_canonical("text")} AS out FROM documents),
 digests AS (SELECT r, doc_id, string_split(out, chr(10)) AS lines, sha256(trim(replace(out, chr(10) || ' ', ''), ' ')) AS text_digest FROM doc_out),
 hits AS (
