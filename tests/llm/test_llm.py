@@ -264,6 +264,29 @@ def test_licenses_as_sql_and_by_name(spark, mixed_docs):
     assert sorted(repr(tuple(r)) for r in got.filter("doc_id IS NOT NULL").select("doc_id", "text_digest", "license_id", "notice_ids").collect()) == want
 
 
+def test_canonical_form(spark):
+    texts = ["Licence licence LICENCE sub-licence sub licence", "“ÉCOLE” ＋ été… ¿qué? ΣΟΦΙΑ", "a\u2003b\u00a0c·d", "Version 3.0 version 3.0", None, ""]
+    got = licenses.canonical(spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string"), "t").orderBy("i").collect()
+    assert [r["whole"] for r in got] == ["license license license sublicense sublicense", "école été qué σοφια", "a b c d", "v 3 v 3", "", ""]
+
+
+COMMON = Path("/usr/share/common-licenses")
+
+
+@pytest.mark.skipif(not COMMON.exists(), reason="no licence texts here")
+def test_full_texts_by_digest(spark):
+    names = {"Apache-2.0": "Apache-2.0", "GPL-2": "GPL-2.0", "GPL-3": "GPL-3.0", "LGPL-2.1": "LGPL-2.1", "MPL-2.0": "MPL-2.0", "CC0-1.0": "CC0-1.0"}
+    texts = [(COMMON / f).read_text(errors="replace") for f in names]
+    rows = [(i, t) for i, t in enumerate(texts)] + [(10 + i, t.replace("\n", "\r\n\n").replace(" the license ", " THE – “licence” ")) for i, t in enumerate(texts)]
+    got = {r["doc_id"]: r["license_id"] for r in licenses.scan_licenses(clash(documents(spark, rows)), licenses.known_licenses(spark)).collect()}
+    assert got == {k: name for i, name in enumerate(names.values()) for k in (i, 10 + i)}
+    assert len({d for _, d in licenses.DIGESTS}) == len(licenses.DIGESTS)
+
+
+def test_licenses_of_no_rows(spark):
+    assert licenses.scan_licenses(documents(spark, []), licenses.known_licenses(spark)).count() == 0
+
+
 def test_lines(spark):
     rows = [(1, "Same line here\nonly one\n\nshort"), (2, " SAME LINE HERE\t\nshort\nonly two x"), (3, "Same line here"), (4, None), (5, ""), (6, "a\rSame line here\r\nSame line here"), (6, "other text\nSame line here"), (9, "twice in one doc\ntwice in one doc")]
     got = line_dedup.dedup_lines(clash(documents(spark, rows + [(None, "Same line here\nlast"), (1, "Same line here\nonly one\n\nshort")])))
@@ -491,7 +514,7 @@ def test_mixing_meets_targets(spark):
     docs = spark.createDataFrame(rows, DOCS)
     labels = spark.createDataFrame([(i, 1, 0) for i in range(0, 600, 4)] + [(None, 1, 0)], "doc_id long, quality int, toxic int")
     goal = [0.4, 0.35, 0.25]
-    got = mixing.mix(clash(docs).drop("n_tokens"), labels, targets=lambda shares: goal).collect()
+    got = mixing.mix(clash(docs).drop("n_tokens"), labels, targets=dict(zip("abc", goal, strict=True))).collect()
     assert len(got) == len(rows) and min(r["rate"] for r in got) >= 0
     total = sum(r["n_tokens"] for r in got)
     for k in range(3):
@@ -501,16 +524,53 @@ def test_mixing_meets_targets(spark):
     assert min(r["rate"] for r in grown) >= 1 and min(r["copies"] for r in grown) >= 1
 
 
-def test_rates_equal_a_plain_projected_gradient(spark):
+@pytest.mark.parametrize("goal,sharp", [([0.8, 0.15, 0.05], 0.3), ([0.2, 0.5, 0.3], 3.0), ([0.98, 0.01, 0.01], 8.0)])
+def test_rates_are_the_optimum(spark, goal, sharp):
+    """The last targets can't be met: posteriors overlap too much."""
     rng = np.random.default_rng(3)
-    n, p = rng.integers(1, 50, 40).astype(float), rng.dirichlet([0.3] * 3, 40)
-    df = spark.createDataFrame([(int(a), [float(x) for x in b]) for a, b in zip(n, p, strict=True)], "n_tokens long, p array<double>")
-    goal = [0.8, 0.15, 0.05]
-    history, shares, _, reached = mixing.fit_rates(df, lambda s: goal)
-    r, share = np.ones(40), (n[:, None] * p).sum(0) / n.sum()
-    for _ in history:
+    n, p = rng.integers(1, 50, 60).astype(float), rng.dirichlet([sharp] * 3, 60)
+    df = spark.createDataFrame([(k, int(a), [float(x) for x in b]) for k, (a, b) in enumerate(zip(n, p, strict=True))], "d int, n_tokens long, p array<double>")
+    fitted, shares, _, reached = mixing.fit_rates(Workspace(spark, "rates"), df, lambda s: goal)
+    got = np.array([r["rate"] for r in fitted.orderBy("d").collect()])
+    r, share = np.ones(60), (n[:, None] * p).sum(0) / n.sum()
+    for _ in range(20_000):
         r = np.maximum(0, r - p @ (((r * n) @ p / n.sum() - goal) / share))
-    assert np.allclose(shares, share) and np.allclose((r * n) @ p / n.sum(), reached)
+    loss = lambda x: (((x * n) @ p / n.sum() - goal) ** 2 / share).sum()
+    assert got.min() >= 0 and np.allclose(shares, share) and np.allclose((got * n) @ p / n.sum(), reached)
+    assert loss(got) <= loss(r) * 1.02 + 1e-6
+    if sharp < 8:
+        assert np.allclose(reached, goal, rtol=2e-4)
+
+
+def test_posteriors_equal_a_plain_naive_bayes(spark):
+    rng = random.Random(9)
+    texts = [" ".join(rng.choice("ab cd ef gh ij Kl mn é".split()) for _ in range(rng.randint(0, 12))) for _ in range(40)] + [None, " \t"]
+    rows = [(i, t, "xyz"[i % 3] if i % 7 else None, "s", 0) for i, t in enumerate(texts)]
+    docs = spark.createDataFrame(rows, DOCS)
+    words = {w for t in texts for w in (t or "").lower().split()}
+    bucket = {r["w"]: r["b"] for r in spark.createDataFrame([(w,) for w in words], "w string").select("w", mixing.bucket(F.col("w")).alias("b")).collect()}
+    labels = spark.createDataFrame([(i, 1, 0) for i in range(30)], "doc_id long, quality int, toxic int")
+    got = {r["doc_id"]: r for r in mixing.mix(clash(docs).drop("n_tokens"), labels, {"x": 0.5, "y": 0.25, "z": 0.25}).collect()}
+    bags = {i: {w for w in (t or "").lower().split()} for i, t, *_ in rows}
+    known = [(bags[i], d) for i, _, d, *_ in rows if i < 30 and d]
+    counts = {d: Counter(bucket[w] for b, e in known if e == d for w in b) for d in "xyz"}
+    for i, t, *_ in rows:
+        s = []
+        for d in "xyz":
+            total = sum(counts[d].values())
+            s.append(1024 * np.log(sum(e == d for _, e in known) / len(known)) + sum(np.round(1024 * np.log((counts[d][bucket[w]] + 1) / (total + mixing.BUCKETS))) for w in bags[i]))
+        odds = np.exp((np.array(s) - max(s)) / 1024)
+        assert got[i]["posterior"] == pytest.approx(odds / odds.sum()) and got[i]["n_tokens"] == len((t or "").split())
+        assert got[i]["domain"] == "xyz"[int(np.argmax(got[i]["posterior"]))]
+        assert got[i]["domain_target"] == {"x": 0.5, "y": 0.25, "z": 0.25}[got[i]["domain"]] and got[i]["domain_reached"] == pytest.approx(got[i]["domain_target"], rel=1e-2)
+
+
+def test_equal_posteriors_go_to_the_first_domain_and_unlisted_ones_keep_their_share(spark):
+    docs = spark.createDataFrame([(i, "same words", "ab"[i % 2], "s", 0) for i in range(4)] + [(4, None, None, None, None)], DOCS)
+    labels = spark.createDataFrame([(i, 1, 0) for i in range(4)], "doc_id long, quality int, toxic int")
+    got = mixing.mix(docs, labels, {"b": 1.0}).collect()
+    assert len(got) == 5 and {r["domain"] for r in got} == {"a"} and all(r["rate"] == pytest.approx(1) for r in got)
+    assert mixing.weights_of({"a": 3.0, "b": 1.0}, ["a", "b", "c"])([0.2, 0.2, 0.6]) == pytest.approx([0.3, 0.1, 0.6])
 
 
 def test_mixing_without_labels_or_rows(spark):
