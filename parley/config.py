@@ -15,6 +15,7 @@ FILLERS = (
 INTERROGATIVES = ("what", "who", "when", "where", "why", "how", "is", "are", "do", "does", "did", "can", "could", "will", "would", "should")
 
 
+# The default weights and parameters.
 @dataclass(frozen=True)
 class Weights:
     avg_conf: float = 0.2

@@ -37,9 +37,10 @@ def score(pairs: DataFrame, weights: Weights = Weights(), similarity=token_cosin
 
 def legacy_score(pairs: DataFrame, words: DataFrame, target: str) -> DataFrame:
     """`file_id, seg_idx, confidence, ratio, complete, score`: the target's words that stand anywhere in the output, as substrings."""
-    w = words.filter(F.col("speaker") == target).select("file_id", F.col("text").alias("t"), "score")
+    w = words.filter(F.col("speaker") == target).groupBy("file_id", F.col("text").alias("t"))
+    w = w.agg(F.sum(F.coalesce("score", F.lit(0.0))).alias("total"), F.count("*").alias("n"))  # a file's distinct words only meet its pairs
     hit = pairs.select("file_id", "seg_idx", "output").join(w, "file_id").filter(F.col("output").contains(F.col("t")))
-    conf = hit.groupBy("file_id", "seg_idx").agg(F.avg(F.coalesce("score", F.lit(0.0))).alias("confidence"))
+    conf = hit.groupBy("file_id", "seg_idx").agg((F.sum("total") / F.sum("n")).alias("confidence"))
     p = pairs.select("file_id", "seg_idx", "input_len", "output_len", "output").join(conf, ["file_id", "seg_idx"], "left")
     some = F.col("confidence").isNotNull()
     ratio = F.when(some, F.least(F.coalesce(F.try_divide("input_len", "output_len"), F.lit(0.0)), F.lit(4.0))).otherwise(0.0)

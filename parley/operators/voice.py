@@ -34,17 +34,28 @@ def reference_centroid(samples: DataFrame) -> DataFrame:
     return mean_vector(samples.withColumn("k", F.lit(0)), ["k"]).select(F.col("embedding").alias("reference"))
 
 
-def rank_speakers(speakers: DataFrame, reference: DataFrame, keys=(), order: str = "speaker") -> DataFrame:
-    """Adds `similarity` to the one reference vector, broadcast, and `rank`, ties in the given order."""
-    s = speakers.join(F.broadcast(reference)).withColumn("similarity", cosine(F.col("embedding").cast("array<double>"), F.col("reference").cast("array<double>")))
-    return s.withColumn("rank", F.row_number().over(W.partitionBy(*keys, F.lit(0)).orderBy(F.desc_nulls_last("similarity"), order))).drop("reference")
+def similar(speakers: DataFrame, reference: DataFrame) -> DataFrame:
+    """Adds `similarity` to the one reference vector, which is broadcast."""
+    both = speakers.join(F.broadcast(reference))
+    return both.withColumn("similarity", cosine(F.col("embedding").cast("array<double>"), F.col("reference").cast("array<double>"))).drop("reference")
+
+
+def rank_speakers(speakers: DataFrame, reference: DataFrame, keys=(), order: str = "speaker", top: int = 1000) -> DataFrame:
+    """Adds `similarity` and `rank`, ties in the given order: within the keys, or without keys of the `top` of all."""
+    s = similar(speakers, reference)
+    by = [F.desc_nulls_last("similarity"), order]
+    if keys:
+        return s.withColumn("rank", F.row_number().over(W.partitionBy(*keys).orderBy(*by)))
+    return s.orderBy(*by).limit(top).withColumn("rank", F.row_number().over(W.orderBy(*by)))
 
 
 def identify(speakers: DataFrame, reference: DataFrame, threshold: float = 0.70, keys=("file_id",)) -> DataFrame:
-    """The best speaker of each file if it is at least that similar; files without one have no row."""
-    return rank_speakers(speakers, reference, keys).filter((F.col("rank") == 1) & (F.col("similarity") >= threshold))
+    """The best speaker of each file if it is at least that similar, the first by name of equals; files without one have no row."""
+    row = F.struct(*[c for c in speakers.columns if c not in keys], "similarity")
+    best = similar(speakers, reference).groupBy(*keys).agg(F.sort_array(F.collect_list(F.struct((-F.col("similarity")).alias("s"), "speaker", row.alias("row")))).alias("all"))
+    first = F.filter("all", lambda x: x["s"].isNotNull())[0]["row"]
+    return best.select(*keys, first.alias("row")).select(*keys, "row.*").filter(F.col("similarity") >= threshold)
 
 
 def top_similar(rows: DataFrame, reference: DataFrame, k: int, order: str) -> DataFrame:
-    sims = rows.join(F.broadcast(reference)).withColumn("similarity", cosine(F.col("embedding").cast("array<double>"), F.col("reference").cast("array<double>"))).drop("reference")
-    return sims.orderBy(F.desc_nulls_last("similarity"), order).limit(k)
+    return similar(rows, reference).orderBy(F.desc_nulls_last("similarity"), order).limit(k)

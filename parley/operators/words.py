@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions.scalar import last_words, word_count
@@ -45,6 +46,17 @@ def shift(words: DataFrame, chunks: DataFrame) -> DataFrame:
     return both.withColumns({c: F.coalesce(c, F.lit(0.0)) + F.col("offset") for c in ("start", "end")}).drop("offset")
 
 
+def sorted_segments(segments: DataFrame, *order: str) -> DataFrame:
+    """Segments of a file numbered anew, `seg_idx` from 0, by start (a null one is 0), then as they were: by `order`."""
+    w = W.partitionBy("file_id").orderBy(F.coalesce("start", F.lit(0.0)), *order)
+    return segments.withColumn("seg_idx", F.row_number().over(w).cast("long") - 1)
+
+
+def target_words(words: DataFrame, target: str) -> DataFrame:
+    """`file_id, target_words`: how many words of a file are the target's, after any relabelling."""
+    return words.groupBy("file_id").agg(F.count_if(F.coalesce(F.col("speaker") == target, F.lit(False))).alias("target_words"))
+
+
 def one_segment(words: DataFrame) -> DataFrame:
     """A file's words as one segment without speaker."""
     return words.groupBy("file_id").agg(F.lit(None).cast("string").alias("speaker"), F.min_by("start", "gpos").alias("start"), F.max_by("end", "gpos").alias("end"), F.count("*").alias("n_words"))

@@ -97,7 +97,56 @@ q3 AS (SELECT file_id, sentence, trim(string_agg(text, ' ' ORDER BY gpos)) AS te
 sen AS (SELECT *, suffix(text, '?') OR regexp_replace(lower(string_split(text, ' ')[1]), '^[.,?!]+|[.,?!]+$', '', 'g') IN
   ('what', 'who', 'when', 'where', 'why', 'how', 'is', 'are', 'do', 'does', 'did', 'can', 'could', 'will', 'would', 'should') AS question FROM q3)"""
 
+
+
+def relabelled(source: str, gate: str = "true") -> str:
+    """`after`: the source with the cascade's changes, judged among the words that pass the gate; `chg`: what it changed."""
+    return f"""
+gate AS (SELECT n.*, row_number() OVER (PARTITION BY file_id ORDER BY gpos) AS rn FROM {source} n WHERE {gate}),
+near AS (SELECT a.file_id, a.rn, any_value(a.gpos) AS gpos, any_value(a.speaker) AS speaker, any_value(length(trim(a.text))) AS len, min(b.rn) AS lo, max(b.rn) AS hi
+         FROM gate a JOIN gate b ON a.file_id = b.file_id AND abs(a.s - b.s) <= 1.0::DOUBLE GROUP BY a.file_id, a.rn),
+marks AS (SELECT file_id, list((speaker = '{TARGET}')::INT ORDER BY rn) AS lab, count(*) AS n FROM gate GROUP BY file_id),
+casc(file_id, k, lab) AS (
+  SELECT file_id, 0::BIGINT, lab FROM marks
+  UNION ALL
+  SELECT c.file_id, c.k + 1, CASE WHEN n.speaker <> '{TARGET}' AND n.len <= 3 AND list_sum(c.lab[n.lo:n.hi]) * 2 > n.hi - n.lo + 1 THEN list_concat(list_concat(c.lab[1:n.rn - 1], [1]), c.lab[n.rn + 1:]) ELSE c.lab END
+  FROM casc c JOIN near n ON n.file_id = c.file_id AND n.rn = c.k + 1),
+chg AS (SELECT n.file_id, n.gpos FROM near n JOIN marks m USING (file_id) JOIN casc c ON c.file_id = n.file_id AND c.k = m.n WHERE n.speaker <> '{TARGET}' AND c.lab[n.rn] = 1),
+after AS (SELECT w.* REPLACE (CASE WHEN chg.gpos IS NOT NULL THEN '{TARGET}' ELSE w.speaker END AS speaker) FROM {source} w LEFT JOIN chg ON chg.file_id = w.file_id AND chg.gpos = w.gpos)"""
+
+
+def gates() -> str:
+    """The confidence and speech gates as a condition on a row `n` of the source; needs `cuts`."""
+    return """(n.score IS NULL OR round(n.score, 9) >= (SELECT round(c.cut - 0.1, 9) FROM cuts c WHERE c.file_id = n.file_id AND c.speaker = n.speaker))
+  AND EXISTS (SELECT 1 FROM diar d WHERE d.file_id = n.file_id AND d.ord % 2 = 0 AND n.s < d.de AND d.ds < n.e)"""
+
+
+def cuts(source: str) -> str:
+    return f"cuts AS (SELECT file_id, speaker, greatest(0.4, quantile_cont(score, 0.3)) AS cut FROM {source} GROUP BY ALL)"
+
+
+FLAGGED = f"""{CHAIN}, {DIAR}, ov AS (SELECT w.file_id, w.gpos, any_value(w.seg_idx) AS seg_idx, (coalesce(sum(CASE WHEN d.ds IS NOT NULL THEN least(w.e, d.de) - greatest(w.s, d.ds) END) / any_value(w.e - w.s), 0) > 0.8)::INT AS o
+FROM (SELECT c.* FROM wc c JOIN kept k USING (file_id, seg_idx) WHERE c.speaker = '{TARGET}') w LEFT JOIN diar d ON d.file_id = w.file_id AND d.speaker <> '{TARGET}' AND w.s < d.de AND d.ds < w.e GROUP BY w.file_id, w.gpos),
+rates AS (SELECT g.file_id, min(g.seg_idx) AS seg_idx, avg(o) AS rate FROM ov JOIN g2 g USING (file_id, seg_idx) GROUP BY g.file_id, g.grp),
+flg AS (SELECT file_id, seg_idx, rate, concat_ws(',', CASE WHEN rate >= 0.2 THEN 'high_overlap' END, CASE WHEN round(coalesce(avg_score, 0), 9) < 0.65 THEN 'low_confidence' END, CASE WHEN output_len > 0 AND input_len::DOUBLE / greatest(output_len, 1) > 1.0 THEN 'input_output_ratio' END) AS reasons
+        FROM scored JOIN rates USING (file_id, seg_idx))"""
+PREPARED = f"WITH RECURSIVE {WORDS}, {DIAR}, {NOISY}, {cuts('noisy')}, {relabelled('noisy', gates())}"
+
+
+def result_columns(a: str, b: str) -> str:
+    return f"len({sents(a)})::BIGINT AS input_sentence_count, len({sents(b)})::BIGINT AS output_sentence_count, round({ratio(a)}, 9) AS input_ttr, round({ratio(b)}, 9) AS output_ttr"
+
+
+#: For files of several speakers, as all are at the size at which rows are compared: there is no question-answer branch.
+FLOW = f"""WITH RECURSIVE {WORDS}, {DIAR}, {cuts('words')}, {relabelled('words', gates())}, {pairs('after')}, {SCORED},
+own AS (SELECT file_id, count_if(speaker = '{TARGET}')::DOUBLE / count(*) AS share, count(DISTINCT speaker) AS n FROM words GROUP BY file_id),
+res AS (SELECT *, CASE WHEN trim(input) = '' THEN '[CONTEXT CONTINUES]' ELSE input END AS said FROM scored WHERE ({REASON}) IS NULL)
+SELECT file_id, seg_idx::VARCHAR AS seg_idx, said AS input, input_len, output, output_len, round(avg_score, 9) AS avg_score, round(tstart, 9) AS tstart, round(tend, 9) AS tend, round(quality_score, 9) AS quality_score,
+       'conversational' AS pair_format, round(share, 9) AS target_speaker_word_ratio, {result_columns('said', 'output')}
+FROM res JOIN own USING (file_id) WHERE n > 1 AND share <= 0.98"""
+
 SQL = {
+    "conversation_flow": FLOW,
     "word_normalise": f"WITH {WORDS} SELECT file_id, gpos, text, CASE WHEN gpos % 7 <> 0 THEN round(s, 9) END AS start, score, CASE WHEN gpos % 11 = 0 THEN 'unknown' ELSE speaker END AS speaker FROM words",
     "join_words": f"WITH {WORDS}, j AS (SELECT file_id, seg_idx, trim(string_agg(text, ' ' ORDER BY gpos)) AS text FROM words GROUP BY ALL) SELECT *, {n_words('text')} AS n_words FROM j",
     "word_count": f"SELECT doc_id, {n_words('text')} AS n_words FROM documents",
@@ -158,8 +207,19 @@ SELECT file_id, 'qna-' || (row_number() OVER (PARTITION BY file_id ORDER BY q) -
     "postfilter_counts": f"""{CHAIN}, r AS (SELECT {REASON} AS reason FROM scored)
 SELECT count(*) AS initial, count_if(reason IS NULL)::BIGINT AS kept, count_if(reason = 'length')::BIGINT AS dropped_by_length, count_if(reason = 'confidence')::BIGINT AS dropped_by_confidence, count_if(reason = 'quality')::BIGINT AS dropped_by_quality FROM r""",
     "postfilter": f"{CHAIN} SELECT file_id, seg_idx, round(quality_score, 9) AS quality_score FROM scored WHERE ({REASON}) IS NULL",
-    "auto_flag": f"""{CHAIN}, r AS (SELECT file_id, seg_idx, concat_ws(',', CASE WHEN round(coalesce(avg_score, 0), 9) < 0.65 THEN 'low_confidence' END, CASE WHEN output_len > 0 AND input_len::DOUBLE / greatest(output_len, 1) > 1.0 THEN 'input_output_ratio' END) AS reasons FROM scored)
-SELECT * FROM r WHERE reasons <> ''""",
+    "auto_flag": f"{FLAGGED} SELECT file_id, seg_idx, round(rate, 9) AS overlap_rate, reasons FROM flg WHERE reasons <> ''",
+    "flagged_ids": f"{FLAGGED} SELECT file_id, string_agg(seg_idx::VARCHAR, ',' ORDER BY seg_idx) AS flagged_ids FROM flg WHERE reasons <> '' GROUP BY file_id",
+    "chunk_shift": f"WITH {WORDS} SELECT file_id, gpos, round(coalesce(CASE WHEN gpos % 9 <> 0 THEN s END, 0) + (seg_idx % 4) * 30.5::DOUBLE, 9) AS start, round(e + (seg_idx % 4) * 30.5::DOUBLE, 9) AS \"end\" FROM words",
+    "segments_sorted": f"""WITH {WORDS}, g AS (SELECT DISTINCT file_id, seg_idx AS was, CASE WHEN seg_idx % 7 <> 0 THEN (seg_idx * 37 % 11)::DOUBLE END AS start FROM words)
+SELECT *, row_number() OVER (PARTITION BY file_id ORDER BY coalesce(start, 0), was) - 1 AS seg_idx FROM g""",
+    "min_duration": f"WITH {WORDS}, {DIAR} SELECT file_id, ord FROM diar WHERE de - ds >= 1.0",
+    "batch_report": f"""WITH {WORDS}, l AS (SELECT DISTINCT file_id, CASE WHEN file_id % 5 = 0 THEN -1.0 ELSE file_id * 7.5 END::DOUBLE AS sec FROM words)
+SELECT file_id, CASE WHEN sec < 0 THEN 'FAILED' ELSE 'OK' END AS status, CASE WHEN sec >= 0 THEN floor(sec / 60)::BIGINT END AS minutes, CASE WHEN sec >= 0 THEN sec % 60 END AS rest FROM l""",
+    "relabel_cascade": f"WITH RECURSIVE {WORDS}, {NOISY}, {relabelled('noisy')} SELECT a.file_id, a.gpos, a.speaker, chg.gpos IS NOT NULL AS relabelled FROM after a LEFT JOIN chg ON chg.file_id = a.file_id AND chg.gpos = a.gpos",
+    "prepared_words": f"{PREPARED} SELECT file_id, gpos, speaker FROM after",
+    "target_words_after_relabel": f"{PREPARED} SELECT file_id, count_if(speaker = '{TARGET}')::BIGINT AS target_words FROM after GROUP BY file_id",
+    "pair_diversity": f"""WITH {WORDS}, {MULTI} SELECT file_id, (seg_idx // 4)::BIGINT AS seg_idx, least(1.0, count(DISTINCT CASE WHEN speaker <> '{TARGET}' THEN speaker END) / 2.0::DOUBLE) AS diversity_score, round(avg(score), 9) AS avg_conf
+FROM multi GROUP BY file_id, seg_idx // 4""",
     "config_sweep": f"""{CHAIN}, cfg(cfg, mw, mc, mq) AS (VALUES ('code', 7, 0.5, 0.6), ('readme', 5, 0.5, 0.55), ('tuned', 7, 0.5, 0.57), ('strict', 12, 0.7, 0.65))
 SELECT cfg, count(*) AS pairs, count_if((output_len >= mw OR (output_len >= 1 AND round(coalesce(avg_score, 0), 9) >= 0.85)) AND (avg_score IS NULL OR round(avg_score, 9) >= mc) AND round(quality_score, 9) >= mq)::BIGINT AS kept FROM scored, cfg GROUP BY cfg""",
     "overlap_summary": f"""{CHAIN}, {DIAR}, f AS (SELECT w.file_id, w.gpos, coalesce(sum(CASE WHEN d.ds IS NOT NULL THEN least(w.e, d.de) - greatest(w.s, d.ds) END) / any_value(w.e - w.s), 0) > 0.8 AS o

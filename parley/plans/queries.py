@@ -11,6 +11,7 @@ from ..functions import scalar as fn
 from ..operators import gates, intervals, merge, qna, relabel, report, scoring, turns, voice
 from ..operators import words as wo
 from ..sources import fixtures as fx
+from ..sources.stages import Stages
 from . import flow
 
 TARGET, CFG = "assistant", PairConfig()
@@ -72,9 +73,52 @@ def config_sweep(pairs: DataFrame) -> DataFrame:
     return gates.sweep(pairs, configs)
 
 
-def auto_flag(pairs: DataFrame) -> DataFrame:
-    cfg = CFG.with_(flag_low_conf=0.65, flag_ratio=1.0)
-    return gates.flag(pairs.withColumn("overlap_rate", F.lit(0.0)), cfg).select("file_id", "seg_idx", F.array_join("reasons", ",").alias("reasons"))
+FLAGS = CFG.with_(flag_overlap=0.2, flag_low_conf=0.65, flag_ratio=1.0, dominance="diarization")
+
+
+def flagged(spark, d) -> DataFrame:
+    """Pairs flagged with overlaps by intervals, so that each reason occurs."""
+    w = fx.words(spark, d)
+    meta = flow.with_overlap(flow.merged_pairs(w, TARGET, CFG), fx.diar(w), TARGET, FLAGS)
+    return gates.flag(scoring.score(meta).withColumn("avg_score", F.col("quality_metrics.avg_conf")), FLAGS)
+
+
+def auto_flag(spark, d) -> DataFrame:
+    return rounded(flagged(spark, d).select("file_id", "seg_idx", F.round("overlap_rate", 9).alias("overlap_rate"), F.array_join("reasons", ",").alias("reasons")))
+
+
+def flagged_ids(spark, d) -> DataFrame:
+    return gates.flagged_ids(flagged(spark, d)).select("file_id", F.array_join(F.transform("flagged_ids", lambda x: x.cast("string")), ",").alias("flagged_ids"))
+
+
+def chunk_shift(words: DataFrame) -> DataFrame:
+    w = words.select("file_id", (F.col("seg_idx") % 4).alias("chunk"), "gpos", F.when(F.col("gpos") % 9 != 0, F.col("start")).alias("start"), "end")
+    return wo.shift(w, w.select("file_id", "chunk", (F.col("chunk") * 30.5).alias("offset")).distinct()).drop("chunk")
+
+
+def segments_sorted(words: DataFrame) -> DataFrame:
+    segs = words.select("file_id", F.col("seg_idx").alias("was")).distinct()
+    segs = segs.withColumn("start", F.when(F.col("was") % 7 != 0, (F.col("was") * 37 % 11).cast("double")))
+    return wo.sorted_segments(segs, "was")
+
+
+def mixed_replies(words: DataFrame) -> DataFrame:
+    """Pairs of which the words are those of several speakers: groups of four segments."""
+    w = words.withColumn("seg_idx", F.floor(F.col("seg_idx") / 4).cast("long"))
+    item = F.struct("gpos", "text", "speaker", "start", "end", "score")
+    p = w.groupBy("file_id", "seg_idx").agg(F.array_sort(F.collect_list(item)).alias("words"))
+    text = F.array_join(F.transform("words", lambda x: x["text"]), " ")
+    return p.select("file_id", "seg_idx", "words", F.lit("").alias("input"), F.lit(0).cast("long").alias("input_len"), text.alias("output"), F.size("words").cast("long").alias("output_len"), F.lit(TARGET).alias("output_speaker"), F.lit(None).cast("double").alias("avg_score"))
+
+
+def batch_report(words: DataFrame) -> DataFrame:
+    return report.batch_report(words.select("file_id").distinct().withColumn("seconds", F.when(F.col("file_id") % 5 == 0, -1.0).otherwise(F.col("file_id") * 7.5)))
+
+
+def prepared_words(spark, d) -> DataFrame:
+    """Noisy words after the gates and the cascade."""
+    w = fx.words(spark, d)
+    return flow.prepared(fx.words_noisy(w), TARGET, CFG, fx.vad(fx.diar(w)))
 
 
 def overlap_summary(spark, d):
@@ -130,9 +174,9 @@ def legacy_score(spark, d):
 
 def conversation_flow(spark, d):
     """Everything, from words and intervals to result rows."""
-    w = fx.words(spark, d)
+    w = Stages(spark).write(fx.words(spark, d), "words")
     dia = fx.diar(w)
-    out = flow.run(w, dia, TARGET, CFG, fx.vad(dia))
+    out = flow.run(w, dia, TARGET, CFG, fx.vad(dia), stages=Stages(spark))
     return rounded(out.select("file_id", "seg_idx", "input", "input_len", "output", "output_len", "avg_score", "tstart", "tend", "quality_score", "pair_format", "target_speaker_word_ratio", "input_sentence_count", "output_sentence_count", "input_ttr", "output_ttr"))
 
 
@@ -177,7 +221,15 @@ QUERIES = {
     "quality_bucket": on_scored(report.quality_buckets),
     "postfilter_counts": on_scored(lambda p: gates.postfilter_counts(p, CFG)),
     "postfilter": on_scored(lambda p: gates.postfilter(p, CFG).select("file_id", "seg_idx", "quality_score")),
-    "auto_flag": on_scored(auto_flag),
+    "auto_flag": auto_flag,
+    "flagged_ids": flagged_ids,
+    "chunk_shift": on_words(chunk_shift),
+    "segments_sorted": on_words(segments_sorted),
+    "min_duration": with_diar(lambda w, d: voice.long_enough(d).select("file_id", "ord")),
+    "batch_report": on_words(batch_report),
+    "prepared_words": lambda spark, d: rounded(prepared_words(spark, d).select("file_id", "gpos", "speaker")),
+    "target_words_after_relabel": lambda spark, d: rounded(wo.target_words(prepared_words(spark, d), TARGET)),
+    "pair_diversity": lambda spark, d: rounded(scoring.score(mixed_replies(fx.words_multi(fx.words(spark, d)))).select("file_id", "seg_idx", F.col("quality_metrics.diversity_score").alias("diversity_score"), F.col("quality_metrics.avg_conf").alias("avg_conf"))),
     "config_sweep": on_scored(config_sweep),
     "overlap_summary": overlap_summary,
     "final_report": final_report,

@@ -54,12 +54,16 @@ def transcripts(spark: SparkSession, path: str) -> DataFrame:
 
 
 def diarization(spark: SparkSession, path: str) -> DataFrame:
-    """Speaker intervals of JSON files: of `content`, or of `segments` where that has none, `label` or `speaker`; in order of start."""
-    raw = spark.read.schema(DIARIZATION).json(path, multiLine=True).withColumn("file_id", F.input_file_name())
+    """Speaker intervals of JSON files: of `content`, of `segments` where that has none, or of a list; `label` or `speaker`.
+    `ord` is the order of start, then of the file. Entries without a time or name are left out, as are files that can't be read."""
+    raw = spark.read.text(path, wholetext=True).withColumn("file_id", F.input_file_name())
+    raw = raw.select("file_id", F.when(~F.ltrim("value").startswith("["), F.from_json("value", DIARIZATION)).alias("d"), F.when(F.ltrim("value").startswith("["), F.from_json("value", f"array<{INTERVAL}>")).alias("l"))
     ok = "x -> x.segment.start IS NOT NULL AND x.segment.end IS NOT NULL AND coalesce(x.label, x.speaker) IS NOT NULL"
-    first, then = (F.expr(f"filter(coalesce({c}, array()), {ok})") for c in ("content", "segments"))
-    rows = raw.select("file_id", F.posexplode(F.when(F.size(first) > 0, first).otherwise(then)).alias("ord", "x"))
-    return rows.select("file_id", "x.segment.start", "x.segment.end", F.coalesce("x.label", "x.speaker").alias("speaker"), F.col("ord").cast("long").alias("ord"))
+    first, then = (F.expr(f"filter(coalesce({c}, array()), {ok})") for c in ("d.content", "coalesce(d.segments, l)"))
+    found = F.when(F.size(first) > 0, first).otherwise(then)
+    rows = raw.select("file_id", F.array_sort(F.transform(found, lambda x, i: F.struct(x["segment"]["start"].alias("start"), i.alias("i"), x["segment"]["end"].alias("end"), F.coalesce(x["label"], x["speaker"]).alias("speaker")))).alias("xs"))
+    rows = rows.select("file_id", F.posexplode("xs").alias("ord", "x"))
+    return rows.select("file_id", "x.start", "x.end", "x.speaker", F.col("ord").cast("long").alias("ord"))
 
 
 def diarization_anywhere(spark: SparkSession, path: str) -> DataFrame:
@@ -96,41 +100,102 @@ def diarization_anywhere(spark: SparkSession, path: str) -> DataFrame:
     return raw.mapInPandas(parse, "file_id string, start double, end double, speaker string, ord long")
 
 
+def samples_of(content: bytes):
+    """Samples of a WAV content from -1 to 1, its channels averaged, and their rate. ValueError if it is no PCM."""
+    import numpy as np
+
+    try:
+        with wave.open(io.BytesIO(content)) as w:
+            width, channels, rate, raw = w.getsampwidth(), w.getnchannels(), w.getframerate(), w.readframes(w.getnframes())
+    except (wave.Error, EOFError) as e:
+        raise ValueError(str(e)) from e
+    if width == 3:
+        wide = np.zeros((len(raw) // 3, 4), np.uint8)
+        wide[:, 1:] = np.frombuffer(raw, np.uint8)[: len(wide) * 3].reshape(-1, 3)
+        pcm = wide.reshape(-1).view("<i4") / 2.0**31
+    else:
+        pcm = np.frombuffer(raw, {1: "u1", 2: "<i2", 4: "<i4"}[width])
+        pcm = (pcm - 128.0) / 128.0 if width == 1 else pcm / 2.0 ** (8 * width - 1)
+    return pcm[: len(pcm) // channels * channels].reshape(-1, channels).mean(axis=1), rate
+
+
+def wav_of(samples, rate: int) -> bytes:
+    """A 16-bit WAV content of one channel."""
+    import numpy as np
+
+    out = io.BytesIO()
+    with wave.open(out, "wb") as w:
+        w.setnchannels(1)
+        w.setsampwidth(2)
+        w.setframerate(rate)
+        w.writeframes(np.clip(np.round(np.asarray(samples) * 32768), -32768, 32767).astype("<i2").tobytes())
+    return out.getvalue()
+
+
+def decoded(files: DataFrame, rate: int = 16_000, decoder=samples_of) -> DataFrame:
+    """`file_id, base_name, content, duration`: contents as 16-bit mono WAV of that rate, seconds in whole milliseconds.
+    `decoder(content)` gives samples and their rate; the one at hand knows WAV, others can be given. What it can't read
+    has a null content and a duration of 0."""
+    import numpy as np
+
+    def run(frames):
+        for pdf in frames:
+            for f, name, content in zip(pdf["file_id"], pdf["base_name"], pdf["content"], strict=True):
+                try:
+                    samples, was = decoder(content)
+                    n = round(len(samples) * rate / was)
+                    if was != rate:
+                        samples = np.interp(np.arange(n) * (was / rate), np.arange(len(samples)), samples) if n else samples[:0]
+                    row = (f, name, wav_of(samples, rate), int(n * 1000 / rate) / 1000)
+                except (ValueError, KeyError, ZeroDivisionError):
+                    row = (f, name, None, 0.0)
+                yield pd.DataFrame([row], columns=["file_id", "base_name", "content", "duration"])
+
+    return files.select("file_id", "base_name", "content").mapInPandas(run, "file_id string, base_name string, content binary, duration double")
+
+
+def cut(files: DataFrame, intervals: DataFrame) -> DataFrame:
+    """`file_id, chunk, offset, end, content` and what else the intervals have: WAV contents of `files(file_id, content)` by
+    `intervals(file_id, start, end, ..)`, numbered from 0 in order of start. Files without an interval give none."""
+    more = [c for c in intervals.columns if c not in ("file_id", "start", "end")]
+    kinds = dict(intervals.dtypes)
+    spans = intervals.groupBy("file_id").agg(F.array_sort(F.collect_list(F.struct("start", "end", *more))).alias("spans"))
+
+    def run(frames):
+        for pdf in frames:
+            for f, content, spans in zip(pdf["file_id"], pdf["content"], pdf["spans"], strict=True):
+                samples, rate = samples_of(content)
+                for k, s in enumerate(spans):
+                    part = samples[max(0, int(s["start"] * rate)) : max(0, int(s["end"] * rate))]
+                    yield pd.DataFrame([(f, k, s["start"], s["end"], *(s[c] for c in more), wav_of(part, rate))], columns=["file_id", "chunk", "offset", "end", *more, "content"])
+
+    schema = "file_id string, chunk long, offset double, end double, " + "".join(f"{c} {kinds[c]}, " for c in more) + "content binary"
+    return files.filter("content IS NOT NULL").select("file_id", "content").join(spans, "file_id").mapInPandas(run, schema)
+
+
 def wav_frames(files: DataFrame, frame_seconds: float = 0.03) -> DataFrame:
-    """`file_id, idx, energy`: root mean square of each whole frame of 16-bit WAV contents, samples over 32768."""
+    """`file_id, idx, energy`: root mean square of each whole frame of WAV contents, channels averaged."""
     import numpy as np
 
     def read(frames):
         for pdf in frames:
             for f, content in zip(pdf["file_id"], pdf["content"], strict=True):
                 try:
-                    with wave.open(io.BytesIO(content)) as w:
-                        if w.getsampwidth() != 2:
-                            continue
-                        pcm, size = np.frombuffer(w.readframes(w.getnframes()), "<i2").astype("f4") / 32768.0, int(w.getframerate() * frame_seconds)
-                except (wave.Error, EOFError):
+                    samples, rate = samples_of(content)
+                except (ValueError, KeyError):
                     continue
-                n = len(pcm) // size if size else 0
-                energy = np.sqrt((pcm[: n * size].reshape(n, size) ** 2).mean(axis=1)) if n else []
+                size = int(rate * frame_seconds)
+                n = len(samples) // size if size else 0
+                energy = np.sqrt((samples[: n * size].reshape(n, size) ** 2).mean(axis=1)) if n else []
                 yield pd.DataFrame({"file_id": f, "idx": range(n), "energy": np.asarray(energy, float)})
 
-    return files.select("file_id", "content").mapInPandas(read, "file_id string, idx long, energy double")
+    return files.filter("content IS NOT NULL").select("file_id", "content").mapInPandas(read, "file_id string, idx long, energy double")
 
 
 def pairs_jsonl(spark: SparkSession, path: str, schema: str) -> DataFrame:
     return spark.read.schema(schema).json(path)
 
 
-def write_stage(df: DataFrame, root: str, stage: str, fingerprint: str) -> DataFrame:
-    """A stage table named by the configuration that made it; an existing one is read, not made again."""
-    spark, path = df.sparkSession, f"{root}/{stage}-{fingerprint}"
-    jvm = spark.sparkContext._jvm
-    marker = jvm.org.apache.hadoop.fs.Path(f"{path}/_SUCCESS")
-    if not marker.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(marker):
-        df.write.mode("overwrite").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
 def write_results(pairs: DataFrame, out: str) -> None:
     pairs.write.mode("overwrite").partitionBy("source_filename").json(f"{out}/results")
 
