@@ -10,10 +10,10 @@ which they are read, so rows that repeat are spread like others; four passes run
    Of the blocks that hold one, the first of each GROUP blocks is its owner and is told which of them the others are.
 3. Passages. An owner cuts out the words of the confirmed windows that it owns, runs of them together, and deals each
    such passage to the blocks that hold any of its windows.
-4. Automata. The passages dealt to a block are its shard: an Aho-Corasick automaton is compiled from their phrases, PHRASE
-   words that follow each other, of which any window holds a whole one. All documents of the block are streamed through
-   it. A hit is compared with its passages word by word, PHRASE - 1 words to either side; where at least a window agrees,
-   its words are removed. A document's other blocks have nothing that it could hold, so it needs no other shard.
+4. Automata. The passages dealt to a block are its shard: an Aho-Corasick automaton is compiled from phrases of PHRASE words,
+   taken so close that any window holds a whole one. All documents of the block are streamed through it. A hit is compared
+   with its passages word by word, as far to either side as a window goes; where at least a window agrees, its words are
+   removed. A document's other blocks have nothing that it could hold, so it needs no other shard.
 
 What is dealt out grows with the repeated text of each block, not with blocks times passages. Hashes travel as sorted
 arrays, one for a block and a range of hashes, with one entry for a hash that a block holds any number of times: a passage
@@ -36,7 +36,9 @@ from pyspark.sql import functions as F
 
 from .common import python_ready, table
 
-WINDOW, SHINGLE, PHRASE = 35, 12, 18
+WINDOW, SHINGLE, PHRASE = 35, 12, 8
+#: Of the places at which phrases are taken from a passage, one is in any window; a window has so many words beside it.
+SIDE, STRIDE = WINDOW - PHRASE, WINDOW - PHRASE + 1
 BLOCK, CHUNK, BUCKET = 8 << 20, 1 << 20, 4_000_000
 GROUP, PIECE, DEALT = 4096, 256, 256
 MULTIPLIERS = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)
@@ -334,24 +336,28 @@ def passages(docs: pa.Table, owned: pa.Table) -> pa.Table:
 
 
 #: What stands between documents and between passages where their words are laid out; no word, and not the same.
-GAP_DOCS, GAP_PASSAGES, GAP_SYMBOL = np.uint64(1), np.uint64(2), 1
+GAP_DOCS, GAP_PASSAGES = np.uint64(1), np.uint64(2)
+#: A word is SYMBOLS characters of BITS bits to the automaton, whose states look through their ways on one by one.
+SYMBOLS, BITS = 3, 5
 
 
 def laid_out(hashes: np.ndarray, starts: np.ndarray, gap: np.uint64) -> tuple[np.ndarray, np.ndarray]:
-    """The hashes with PHRASE gaps before each text and at the end, and where each text then starts."""
+    """The hashes with a gap after each text and SIDE of them at both ends, and where each text then starts."""
     n = len(starts)
     sizes = np.diff(np.append(starts, len(hashes)))
-    out = np.full(len(hashes) + PHRASE * (n + 1), gap)
-    to = starts + PHRASE * np.arange(1, n + 1)
+    out = np.full(len(hashes) + n + 2 * SIDE, gap)
+    to = starts + SIDE + np.arange(n)
     out[spans(to, sizes)] = hashes
     return out, to
 
 
 def symbols(hashes: np.ndarray, gap: np.uint64) -> str:
-    """A character for each word: what the automaton reads. Words may share one; hits are compared in full."""
-    codes = (np.uint64(0x10000) + hashes % np.uint64(0x100000)).astype("<u4")
-    codes[hashes == gap] = GAP_SYMBOL
-    return codes.tobytes().decode("utf-32-le")
+    """What the automaton reads of words. Words may be the same to it; hits are compared in full."""
+    codes = np.empty((len(hashes), SYMBOLS), np.uint8)
+    for k in range(SYMBOLS):
+        codes[:, k] = hashes >> np.uint64(20 + BITS * k) & np.uint64((1 << BITS) - 1)
+    codes[hashes == gap] = 1 << BITS
+    return codes.tobytes().decode("latin-1")
 
 
 class Shard:
@@ -363,8 +369,8 @@ class Shard:
         self.hashes, self.starts = laid_out(hashes, np.cumsum(sizes) - sizes, GAP_PASSAGES)
         text, number, self.places = symbols(self.hashes, GAP_PASSAGES), {}, []
         for start, n in zip(self.starts.tolist(), sizes.tolist(), strict=True):
-            for at in range(start, start + n - PHRASE + 1, PHRASE):
-                phrase = text[at : at + PHRASE]
+            for at in range(start, start + n - PHRASE + 1, STRIDE):
+                phrase = text[SYMBOLS * at : SYMBOLS * (at + PHRASE)]
                 k = number.setdefault(phrase, len(number))
                 if k == len(self.places):
                     self.places.append([])
@@ -379,10 +385,11 @@ class Shard:
         if not len(self.automaton):
             return NONE, NONE
         found = np.fromiter((x for pair in self.automaton.iter(text) for x in pair), np.int64).reshape(-1, 2)
+        found = found[(found[:, 0] + 1) % SYMBOLS == 0]
         sizes = np.fromiter(map(len, self.places), np.int64, len(self.places))
         flat = np.fromiter((x for p in self.places for x in p), np.int64)
         n, begin = sizes[found[:, 1]], (np.cumsum(sizes) - sizes)[found[:, 1]]
-        return np.repeat(found[:, 0] - PHRASE + 1, n), flat[spans(begin, n)]
+        return np.repeat((found[:, 0] + 1) // SYMBOLS - PHRASE, n), flat[spans(begin, n)]
 
 
 def same_words(doc: list[bytes], at: int, passage: list[bytes], place: int, low: int, high: int) -> tuple[int, int]:
@@ -397,21 +404,21 @@ def same_words(doc: list[bytes], at: int, passage: list[bytes], place: int, low:
     return low, next((k - low for k in range(low, len(agree)) if not agree[k]), high)
 
 
-def covered_words(block: Block, texts: list[bytes], step: int = 1 << 16) -> np.ndarray:
+def covered_words(block: Block, texts: list[bytes], step: int = 1 << 14) -> np.ndarray:
     """Which words of a block lie in a window that some passage holds."""
     cover = np.zeros(len(block.hashes) + 1, np.int64)
     if not texts or not len(block.hashes):
         return cover[:-1] > 0
-    shard, side = Shard(texts), PHRASE - 1
+    shard = Shard(texts)
     hashes, starts = laid_out(block.hashes, block.starts, GAP_DOCS)
     at, place = shard.hits(symbols(hashes, GAP_DOCS))
     words, now = [], -1
     for k in range(0, len(at), step):
         a, p = at[k : k + step], place[k : k + step]
-        around = np.arange(-side, PHRASE + side)
+        around = np.arange(-SIDE, PHRASE + SIDE)
         agree = hashes[a[:, None] + around] == shard.hashes[p[:, None] + around]
-        low = np.logical_and.accumulate(agree[:, side - 1 :: -1], axis=1).sum(axis=1)
-        high = np.logical_and.accumulate(agree[:, side:], axis=1).sum(axis=1)
+        low = np.logical_and.accumulate(agree[:, SIDE - 1 :: -1], axis=1).sum(axis=1)
+        high = np.logical_and.accumulate(agree[:, SIDE:], axis=1).sum(axis=1)
         good = np.flatnonzero((high >= PHRASE) & (low + high >= WINDOW))
         a, p, low, high = a[good], p[good], low[good], high[good]
         doc, passage = np.searchsorted(starts, a, side="right") - 1, np.searchsorted(shard.starts, p, side="right") - 1
