@@ -8,6 +8,7 @@ import tempfile
 import uuid
 from pathlib import Path
 
+import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -68,5 +69,31 @@ def hash128(*cols: Column) -> list[Column]:
     return [F.xxhash64(*cols).alias("h1"), F.xxhash64(F.lit(0x9E3779B9), *cols).alias("h2")]
 
 
+LANE, MIX = np.uint64(0xFF51AFD7ED558CCD), np.uint64(0xC4CEB9FE1A85EC53)
+#: Of a lane of 8 bytes, those that belong to a span of so many more.
+MASKS = np.array([(1 << 8 * k) - 1 for k in range(9)], np.uint64)
+
+
+def span_hashes(data: bytes, starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """64-bit hashes of spans of bytes, by lanes of 8; `data` goes on for 8 bytes at least after the last span."""
+    lanes = np.ndarray((len(data) - 7,), "<u8", data, strides=(1,))
+    out = sizes.astype(np.uint64) * MIX
+    at, left, rows = starts, sizes, slice(None)
+    while len(at):
+        x = (lanes[at] & MASKS[np.minimum(left, 8)]) * LANE
+        x ^= x >> np.uint64(32)
+        h = (out[rows] ^ x) * MIX
+        out[rows] = h ^ (h >> np.uint64(29))
+        more = np.flatnonzero(left > 8)
+        rows = more if isinstance(rows, slice) else rows[more]
+        at, left = at[more] + 8, left[more] - 8
+    return out
+
+
+def spans(begin: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """begin[0], begin[0] + 1, .. of sizes[0] numbers, then those from begin[1]."""
+    return np.repeat(begin - np.cumsum(sizes) + sizes, sizes) + np.arange(sizes.sum())
+
+
 def ascii_lower(c: Column) -> Column:
     return F.translate(c, UPPER, LOWER)

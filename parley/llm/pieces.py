@@ -10,7 +10,8 @@ border). Matrices are combined associatively, FAN neighbours at a time, in a tre
 on the way back down each step finds the states between the neighbours of the one above, so a task holds FAN matrices
 whatever the length of a document; each chunk is then traced back by itself.
 Where no piece can lie across a place (before a white space sign after another character), all states are one, so
-the words between such places are solved once and remembered, and short documents are a single chunk with one state.
+the words between such places are solved once and remembered by a 64-bit hash, and short documents are a single chunk
+with one state.
 """
 
 from __future__ import annotations
@@ -30,12 +31,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import Workspace, python_ready, table
+from .common import Workspace, python_ready, span_hashes, spans, table
 
 SPACE = "▁"
 WORD = re.compile(f"{SPACE}+[^{SPACE}]*|[^{SPACE}]+")
 CHUNK, GIANT = 16_384, 32_768
-CACHED, FITS, LONGEST_CACHED = 600_000, 600_000, 48
+CACHED, FITS, LONGEST_CACHED = 200_000, 600_000, 48
+SLOTS, FILLED, POOL, TOGETHER = 1 << 21, 1_300_000, 8_000_000, 1 << 20
 FAN, CHAR = 16, 1 << 20
 NO = -np.inf
 CLOSING = {*".,;:!?"}
@@ -84,7 +86,7 @@ class Model:
         #: A line's end that is in no piece stands alone, so words can be cut there.
         self.line_end = self.coded(["\n"]) if not any("\n" in t for t in self.ids) else None
         self.words = Solved(self)
-        self.spaced = Solved(self, SPACE)
+        self.table = Table()
         #: What each identifier is in a decoded text; bytes beyond ASCII stand as surrogates until all are there.
         self.shown = [n.replace(SPACE, " ") for n in self.names]
         for b, i in self.bytes.items():
@@ -350,11 +352,53 @@ class Model:
 
     def encode(self, text: str | None) -> bytes:
         """Identifiers as 32-bit numbers."""
-        if not text:
-            return b""
-        if self.prefix and "  " not in text and text[0] != " " and SPACE not in text:
-            return b"".join(map(self.spaced.__getitem__, text.split(" ")))
-        return b"".join(map(self.words.__getitem__, WORD.findall(self.marked(text))))
+        return self.encode_all([text])[0].tobytes()
+
+    def encode_all(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
+        """Identifiers of all texts, one after another, and how many each has."""
+        flat, sizes, at = [np.zeros(0, np.int32)], [np.zeros(0, np.int64)], 0
+        while at < len(texts):
+            to, held, together = at, 0, []
+            while to < len(texts) and held < TOGETHER:
+                text = (texts[to] or "").replace(SPACE, " ").encode()  # both are that sign from here on
+                together.append(b" " + text if text and self.prefix else text)
+                held += len(text)
+                to += 1
+            found = self.encode_bytes(together)
+            flat.append(found[0])
+            sizes.append(found[1])
+            at = to
+        return np.concatenate(flat), np.concatenate(sizes)
+
+    def encode_bytes(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """Texts, each with its prefix as a space, are cut at spaces after other characters and before line ends, which no piece
+        crosses; the words are looked up by 64-bit hash, and new ones solved."""
+        data = b"".join([*texts, bytes(8)])
+        buffer = np.frombuffer(data, np.uint8)[:-8]
+        ends = np.cumsum(np.fromiter(map(len, texts), np.int64, len(texts)))
+        begins = buffer == 32
+        begins[1:] &= buffer[:-1] != 32
+        if self.line_end:
+            begins |= buffer == 10
+        begins[np.concatenate([[0], ends])[:-1][np.diff(ends, prepend=0) > 0]] = True
+        starts = np.flatnonzero(begins)
+        lengths = np.diff(np.append(starts, len(buffer)))
+        hashes = span_hashes(data, starts, lengths)
+        slots = self.table.find(hashes)
+        new, first = np.unique(hashes[slots < 0], return_index=True)
+        if len(new):
+            if self.table.full(len(new)):
+                self.table.clear()
+                new, first = np.unique(hashes, return_index=True)
+                where = first
+            else:
+                where = np.flatnonzero(slots < 0)[first]
+            spoken = [data[a : a + n].decode().replace(" ", SPACE) for a, n in zip(starts[where].tolist(), lengths[where].tolist(), strict=True)]
+            self.table.add(new, [self.words[w] for w in spoken])
+            slots = self.table.find(hashes)
+        sizes = self.table.sizes[slots]
+        upto = np.concatenate([[0], np.cumsum(sizes)])[np.searchsorted(starts, np.concatenate([[0], ends]))]
+        return self.table.pool[spans(self.table.places[slots], sizes)], np.diff(upto)
 
     def marked(self, text: str) -> str:
         return self.prefix + text.replace(" ", SPACE)
@@ -366,15 +410,60 @@ class Model:
         return text[1:] if self.prefix and text.startswith(" ") else text
 
 
+class Table:
+    """Encodings by the hash of a word, in arrays: some 50 bytes each. Emptied when full."""
+
+    def __init__(self):
+        self.clear()
+
+    def clear(self) -> None:
+        self.keys, self.places, self.sizes = np.zeros(SLOTS, np.uint64), np.zeros(SLOTS, np.int64), np.zeros(SLOTS, np.int64)
+        self.pool, self.used, self.count = np.zeros(1 << 16, np.int32), 0, 0
+
+    def full(self, more: int) -> bool:
+        return self.count + more > FILLED or self.used > POOL
+
+    def find(self, hashes: np.ndarray) -> np.ndarray:
+        """The slot of each, or -1."""
+        out, rows = np.full(len(hashes), -1), np.arange(len(hashes))
+        at = (hashes % np.uint64(SLOTS)).astype(np.int64)
+        while len(rows):
+            keys = self.keys[at]
+            hit = keys == hashes[rows]
+            out[rows[hit]] = at[hit]
+            on = ~hit & (keys != 0)
+            rows, at = rows[on], (at[on] + 1) % SLOTS
+        return out
+
+    def add(self, hashes: np.ndarray, found: list[bytes]) -> None:
+        """Different hashes that are not there yet. (A hash of 0 or of another word would be wrong; at 64 bits neither is met.)"""
+        flat = np.frombuffer(b"".join(found), np.int32)
+        sizes = np.fromiter(map(len, found), np.int64, len(found)) // 4
+        if self.used + len(flat) > len(self.pool):
+            self.pool = np.concatenate([self.pool[: self.used], np.zeros(max(len(self.pool), len(flat)), np.int32)])
+        self.pool[self.used : self.used + len(flat)] = flat
+        places = np.cumsum(sizes) - sizes + self.used
+        self.used, self.count = self.used + len(flat), self.count + len(found)
+        rows, at = np.arange(len(hashes)), (hashes % np.uint64(SLOTS)).astype(np.int64)
+        while len(rows):
+            free = np.flatnonzero(self.keys[at] == 0)
+            slots, first = np.unique(at[free], return_index=True)
+            put = free[first]
+            self.keys[slots], self.places[slots], self.sizes[slots] = hashes[rows[put]], places[rows[put]], sizes[rows[put]]
+            rest = np.ones(len(rows), bool)
+            rest[put] = False
+            rows, at = rows[rest], (at[rest] + 1) % SLOTS
+
+
 class Solved(dict):
     """Encodings by word. When full, the older half of what was needed last is kept aside; long words never stay."""
 
-    def __init__(self, model: Model, before: str = ""):
-        self.model, self.before, self.old = model, before, {}
+    def __init__(self, model: Model):
+        self.model, self.old = model, {}
 
     def __missing__(self, word: str) -> bytes:
         if (ids := self.old.get(word)) is None:
-            ids = self.joined(word) or self.model.solve(self.before + word)
+            ids = self.joined(word) or self.model.solve(word)
         if len(word) <= LONGEST_CACHED:
             if len(self) >= CACHED // 2:
                 self.old = dict(self)
@@ -382,15 +471,13 @@ class Solved(dict):
             self[word] = ids
         return ids
 
-
     def joined(self, word: str) -> bytes | None:
         """Of the parts of a word with line ends, or that a sign closes: the encodings of parts are that of the whole if
         the pieces that meet may follow each other."""
         m = self.model
         if m.line_end and "\n" in word:
             first, *rest = word.split("\n")
-            ids = self[first] if first or self.before else b""
-            return ids + b"".join(m.line_end + (m.words[part] if part else b"") for part in rest)
+            return (self[first] if first else b"") + b"".join(m.line_end + (self[part] if part else b"") for part in rest)
         if m.bpe and word[-1:] in CLOSING and len(word) > 1:
             ids = self[word[:-1]]
             last = m.names[int.from_bytes(ids[-4:], sys.byteorder)]
@@ -413,8 +500,8 @@ def as_lists(blobs: list[bytes]) -> pa.Array:
 def encode_udf(path: str):
     @F.arrow_udf(T.ArrayType(T.IntegerType()))
     def encoded(texts: pa.Array) -> pa.Array:
-        m = model(path)
-        return as_lists([m.encode(x) for x in texts.to_pylist()])
+        flat, sizes = model(path).encode_all(texts.to_pylist())
+        return pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)), pa.array(flat))
 
     return encoded
 

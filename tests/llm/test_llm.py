@@ -371,6 +371,37 @@ def test_outlier_norm_does_not_blind_the_graph(spark):
     assert sum(len(got[q] & {*want[q]}) for q in want) >= 0.95 * 20 * len(want)
 
 
+def test_nearest_of_many_vectors_of_one_norm_and_a_hot_one(spark):
+    rng = np.random.default_rng(8)
+    m = rng.standard_normal((4000, 24)).astype("f4")
+    m /= np.linalg.norm(m, axis=1, keepdims=True)
+    m[rng.permutation(4000)[:1300]] = m[11]
+    df = vectors(spark, m, [(0, [float(x) for x in -m[0]], 0), (20, None, 0)])
+    least = {0: min([m[0].tolist(), (-m[0]).tolist()])}
+    m[0] = least[0]
+    got: dict = {}
+    for r in ann.nearest(df, df.filter("vec_id % 20 = 0").select(F.col("vec_id").alias("id")), leaf=300).collect():
+        got.setdefault(r["query_id"], {})[r["rank"]] = r["vec_id"]
+    x = m.astype(float)
+    hits = 0
+    for q in range(0, 4000, 20):
+        s = x @ x[q]
+        s[q] = -9
+        want = np.lexsort((np.arange(4000), -np.round(s, 12)))[:20].tolist()
+        assert sorted(got[q]) == list(range(1, 21))
+        hits += len({*want} & {*got[q].values()})
+    assert hits >= 0.97 * 20 * 200
+
+
+def test_repeated_ids_and_clashing_names(spark):
+    rows = [(1, [1.0, 0.0], 0), (1, [0.0, 1.0], 0), (2, [0.0, 2.0], 0), (3, [1.0, 0.01], 0), (3, [1.0, 0.01], 0), (None, [1.0, 0.0], 0)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int").selectExpr("*", "1 AS id", "2 AS v", "3 AS u", "4 AS root", "5 AS point", "6 AS n", "7 AS component_id", "8 AS times")
+    got = {(r["vec_id"], r["n_links"], r["component_id"], r["kept"]) for r in embedding_dedup.dedup_embeddings(df).collect()}
+    assert got == {(1, 1, 1, True), (2, 1, 1, False), (3, 0, 3, True), (None, 0, None, False)}  # of id 1 the vector [0, 1]
+    near = ann.nearest(df, df.select(F.col("vec_id").alias("id")), top=1).collect()
+    assert sorted((r["query_id"], r["vec_id"]) for r in near) == [(1, 2), (2, 1), (3, 2)]
+
+
 def test_few_vectors_and_none(spark):
     df = vectors(spark, np.eye(3, 16))
     got = ann.nearest(df, df.select(F.col("vec_id").alias("id"))).collect()
