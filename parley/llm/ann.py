@@ -1,9 +1,10 @@
 """Approximate nearest neighbours: greedy search in an NN-descent graph.
 
 Vectors that are the same are one point of the graph, whatever their number. Queries are points of the index; a query
-starts from its own list, and in each round the best points that it has not visited yet are expanded: the query's code
-goes to their blocks, where the codes of all their neighbours are, and the nearest come back. What is nearest by codes
-is measured again on the original vectors. Vectors of different norms are put into bands in which norms differ by a
+starts from its own list, and in each round those of its best points that it has not visited yet are expanded: the query's
+code goes to their blocks, where the codes of all their neighbours are, and the nearest come back. A query ends when its
+BEAM best points are all visited, the search when all queries have ended; the graph's messages are written once, and
+only those to points that are asked are sent again. What is nearest by codes is measured again on the original vectors. Vectors of different norms are put into bands in which norms differ by a
 factor of at most root 2, so that the component which brings a band to one norm never outweighs the others: a large band
 has a graph, which each query enters by the nearest of a sample, and the points of small ones are all compared.
 """
@@ -22,7 +23,7 @@ from .common import Workspace, table
 from .neighbours import NONE, Graph, arrow2, block_of, codes_of, matrix, usable
 
 K, ROUNDS, TOP = 48, 4, 20
-HOPS, BEAM, POOL, AGAIN = 2, 48, 256, 160
+HOPS, BEAM, POOL, AGAIN = 100, 48, 256, 160
 FEW, DOORS, PART = 1 << 14, 1024, 4096
 POOLS = "block int, q long, id long, score float, open boolean"
 REQUESTS = "block int, id long, q long, code binary"
@@ -42,10 +43,9 @@ def ranked(q: np.ndarray, key: np.ndarray) -> np.ndarray:
 
 
 def chosen(pool: pa.Table, beam: int) -> np.ndarray:
-    """Rows to expand next: each query's best open ones."""
+    """Rows to expand next: the open ones among each query's best."""
     q, score = pool.column("q").to_numpy(), pool.column("score").to_numpy()
-    is_open = pool.column("open").to_numpy(zero_copy_only=False)
-    return is_open & (ranked(q, np.where(is_open, score, -np.inf)) < beam)
+    return pool.column("open").to_numpy(zero_copy_only=False) & (ranked(q, score) < beam)
 
 
 def ask(blocks: int, beam: int):
@@ -114,14 +114,18 @@ def take_in(blocks: int, beam: int, pool_size: int):
 def search(work: Workspace, graph: Graph, codes: DataFrame, pool: DataFrame, hops: int = HOPS, beam: int = BEAM, pool_size: int = POOL) -> DataFrame:
     """`codes(block, id, code)` of queries and the POOLS they start from -> `q, id, score`: near points by their codes,
     at most pool_size for each."""
-    pool = work.write(pool, "pool0")
+    pool, messages = work.write(pool, "pool0"), work.write(graph.messages(), "messages")
     for hop in range(hops):
         requests = codes.groupBy("block").cogroup(pool.groupBy("block")).applyInArrow(arrow2(ask(graph.blocks, beam)), REQUESTS)
-        found = graph.messages().groupBy("block").cogroup(requests.groupBy("block")).applyInArrow(arrow2(answer(graph.blocks, pool_size)), POOLS)
+        requests = work.write(requests, f"requests{hop}")
+        if requests.isEmpty():
+            return pool.select("q", "id", "score")
+        sent = messages.join(requests.select(F.col("id").alias("to")).distinct(), "to", "left_semi")
+        found = sent.groupBy("block").cogroup(requests.groupBy("block")).applyInArrow(arrow2(answer(graph.blocks, pool_size)), POOLS)
         pool = pool.groupBy("block").cogroup(found.groupBy("block")).applyInArrow(arrow2(take_in(graph.blocks, beam, pool_size)), POOLS)
         pool = work.write(pool, f"pool{hop + 1}")
         work.release()
-    return pool.select("q", "id", "score")
+    raise RuntimeError(f"the search has not ended after {hops} hops")
 
 
 def search_own(work: Workspace, graph: Graph, points: DataFrame) -> DataFrame:
@@ -204,7 +208,7 @@ def banded(work: Workspace, classes: DataFrame, points: DataFrame, longest: floa
         sample = band.orderBy(F.xxhash64("id"), "id").limit(DOORS).collect()
         entries = doors(graph.blocks, BEAM, np.array([r["id"] for r in sample], np.int64), np.array([r["v"] for r in sample]) / norm)
         codes = own.write(asking.mapInArrow(plain_codes(graph.blocks), "block int, id long, code binary"), "query-codes")
-        pool = search(own, graph, codes, asking.mapInArrow(entries, POOLS), hops=3 * HOPS)
+        pool = search(own, graph, codes, asking.mapInArrow(entries, POOLS))
         pairs.append(pool.withColumn("n", F.row_number().over(W.partitionBy("q").orderBy(F.desc("score"), "id"))).filter(F.col("n") <= AGAIN).select("q", "id"))
     return work.write(reduce(DataFrame.unionAll, pairs), "candidates")
 
@@ -216,19 +220,19 @@ def dot(a, b):
 def nearest(vectors: DataFrame, asked: DataFrame, top: int = TOP, k: int = K, rounds: int = ROUNDS, id_col: str = "vec_id", vector_col: str = "embedding", leaf: int | None = None, few: int = FEW) -> DataFrame:
     """`query_id, rank, vec_id, score`: the `top` rows of largest inner product found for each id in `asked(id)`.
 
-    Ids are distinct (of repeated ones one row is as good as another); queries are rows of `vectors`. Ties go to the
+    Of rows that repeat an id the least vector counts; queries are rows of `vectors`. Ties go to the
     smaller id. Vectors that usable() leaves out neither ask nor answer. With fewer rows than `top` all others come. An
     empty table gives an empty result. Other columns are not read.
     """
     spark = vectors.sparkSession
     work = Workspace(spark, "ann")
-    good = work.write(usable(vectors, id_col, vector_col).dropDuplicates(["id"]), "good")
+    good = work.write(usable(vectors, id_col, vector_col).groupBy("id").agg(F.min("v").alias("v")), "good")
     classes = work.write(good.groupBy("v").agg(F.min("id").alias("id")), "classes")
     of = work.write(good.join(classes.withColumnRenamed("id", "point"), "v").select("id", "point"), "of")
     length = F.sqrt(dot(F.col("v"), F.col("v")))
     shortest, longest = classes.agg(F.min(length), F.max(length)).first()
     lengthened = bool(longest) and longest - shortest > 1e-3 * longest  # else inner products order as cosines do
-    asking = work.write(of.join(asked.select("id"), "id", "left_semi"), "asking")
+    asking = work.write(of.join(asked.select("id"), "id", "left_semi").distinct(), "asking")
     points = asking.select(F.col("point").alias("id")).distinct()
     leaves = {"leaf": leaf} if leaf else {}
     if lengthened:
@@ -248,8 +252,9 @@ def nearest(vectors: DataFrame, asked: DataFrame, top: int = TOP, k: int = K, ro
     few = of.withColumn("n", F.row_number().over(W.partitionBy("point", part).orderBy("id"))).filter(F.col("n") <= top + 1)
     few = few.withColumn("n", F.row_number().over(W.partitionBy("point").orderBy("id"))).filter(F.col("n") <= top + 1)
     few = few.select(F.col("id").alias("vec_id"), F.col("point").alias("id"))
-    found = exact.join(few, "id").select("q", "vec_id", "score")
-    found = found.join(asking.select(F.col("id").alias("query_id"), F.col("point").alias("q")), "q").filter("query_id <> vec_id")
+    # ranked for a class before its queries, however many they are, get their rows
+    found = exact.join(few, "id").withColumn("n", F.row_number().over(W.partitionBy("q").orderBy(F.desc("score"), "vec_id"))).filter(F.col("n") <= top + 1)
+    found = found.select("q", "vec_id", "score").join(asking.select(F.col("id").alias("query_id"), F.col("point").alias("q")), "q").filter("query_id <> vec_id")
     last = W.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     found = found.withColumn("rank", F.row_number().over(last)).filter(F.col("rank") <= top)
     return found.select("query_id", "rank", "vec_id", "score")

@@ -177,11 +177,11 @@ def dedup_embeddings(vectors: DataFrame, least: float = LEAST, k: int = K, id_co
     """`vec_id, n_links, component_id, kept`, one row for each row of `vectors`.
 
     Vectors that usable() leaves out link with nothing. A null id takes no part: no links, null component, not kept.
-    Rows that repeat an id count once and all get that row's result. An empty table gives an empty result. Other
+    Of rows that repeat an id the least vector counts, and all get its result. An empty table gives an empty result. Other
     columns are not read.
     """
     work = Workspace(vectors.sparkSession, "embeddings")
-    good = work.write(usable(vectors, id_col, vector_col).dropDuplicates(["id"]), "good")
+    good = work.write(usable(vectors, id_col, vector_col).groupBy("id").agg(F.min("v").alias("v")), "good")
     classes = good.groupBy("v").agg(F.min("id").alias("id"), F.count("*").alias("times"))
     points = work.write(classes.select("id", "times", "v", unit(F.col("v")).alias("u")), "points")
     of = good.join(points.select("v", F.col("id").alias("point")), "v").select("id", "point")

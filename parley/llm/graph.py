@@ -34,5 +34,7 @@ def components(work: Workspace, links: DataFrame) -> DataFrame:
         if state == mark or not state[0]:
             break
         mark = state
+    else:
+        raise RuntimeError(f"components are not found after {ROUNDS} rounds")
     roots = stars.select("lo").distinct()
     return stars.select(F.col("hi").alias("node"), F.col("lo").alias("root")).unionAll(roots.select("lo", "lo"))
