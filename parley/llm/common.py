@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import gc
 import os
-import tempfile
 import uuid
 from pathlib import Path
 
@@ -12,21 +11,13 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..sources.stages import delete, shared_dir
+
 #: The characters of `[\x20\x09-\x0D]`, the only white space the word and line contracts know.
 WHITE = " \t\n\x0b\x0c\r"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder in spark.checkpoint.dir; where that is unset (tests, local runs) one of our own is set."""
-    given = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
-    if not given:
-        known = spark.sparkContext._jsc.sc().getCheckpointDir()
-        given = known.get() if known.isDefined() else tempfile.mkdtemp(prefix="parley-")
-        spark.conf.set("spark.checkpoint.dir", given)
-    return given
-
-
 class Workspace:
     """Tables written below the shared folder, each read back with its lineage cut."""
 
@@ -40,10 +31,7 @@ class Workspace:
 
     def drop(self, name: str) -> None:
         """Deletes a table of this workspace that nothing reads any more."""
-        jvm = self.spark.sparkContext._jvm
-        path = jvm.org.apache.hadoop.fs.Path(f"{self.root}/{name}")
-        path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
-
+        delete(self.spark, f"{self.root}/{name}")
 
     def release(self) -> None:
         """Lets Spark delete the shuffle files of rounds that are over: it does once their plans are garbage."""

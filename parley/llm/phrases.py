@@ -34,7 +34,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import python_ready, table
+from .common import python_ready, span_hashes, spans, table
 
 WINDOW, SHINGLE, PHRASE = 35, 12, 8
 #: Of the places at which phrases are taken from a passage, one is in any window; a window has so many words beside it.
@@ -42,11 +42,8 @@ SIDE, STRIDE = WINDOW - PHRASE, WINDOW - PHRASE + 1
 BLOCK, CHUNK, BUCKET = 8 << 20, 1 << 20, 4_000_000
 GROUP, PIECE, DEALT = 4096, 256, 256
 MULTIPLIERS = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)
-LANE, MIX = np.uint64(0xFF51AFD7ED558CCD), np.uint64(0xC4CEB9FE1A85EC53)
 WHITE = np.zeros(256, bool)
 WHITE[[9, 10, 11, 12, 13, 32]] = True
-#: Of the lanes of 8 bytes in which words are hashed, the bytes that belong to a word of so many more.
-MASKS = np.array([(1 << 8 * k) - 1 for k in range(9)], np.uint64)
 NONE = np.zeros(0, np.int64)
 
 
@@ -62,17 +59,7 @@ def hashed(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     white = WHITE[buffer]
     starts = np.flatnonzero(white[:-1] & ~white[1:]) + 1
     sizes = np.flatnonzero(~white[:-1] & white[1:]) + 1 - starts
-    lanes = np.ndarray((len(data) - 7,), "<u8", data, strides=(1,))
-    out = sizes.astype(np.uint64) * MIX
-    at, left, rows = starts, sizes, slice(None)
-    while len(at):
-        x = (lanes[at] & MASKS[np.minimum(left, 8)]) * LANE
-        x ^= x >> np.uint64(32)
-        h = (out[rows] ^ x) * MIX
-        out[rows] = h ^ (h >> np.uint64(29))
-        more = np.flatnonzero(left > 8)
-        rows = more if isinstance(rows, slice) else rows[more]
-        at, left = at[more] + 8, left[more] - 8
+    out = span_hashes(data, starts, sizes)
     ends = np.cumsum([len(t) + 1 for t in texts], dtype=np.int64)
     counts = np.diff(np.searchsorted(starts, np.concatenate([[0], ends + 1]))) if texts else NONE
     return out, counts
@@ -239,13 +226,8 @@ def owners(parts: pa.Table) -> pa.Table:
     return pa.table([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=["block", "found", "sizes", "holders"])
 
 
-def spans(begin: np.ndarray, sizes: np.ndarray) -> np.ndarray:
-    """begin[0], begin[0] + 1, .. of sizes[0] numbers, then those from begin[1]."""
-    return np.repeat(begin - np.cumsum(sizes) + sizes, sizes) + np.arange(sizes.sum())
-
-
-def pack(blocks: int):
-    """Partitions of `part, doc_id, text` -> rows `block, payload`: compressed tables of documents of about CHUNK bytes that
+def pack(blocks: int, chunk: int = CHUNK):
+    """Partitions of `part, doc_id, text` -> rows `block, payload`: compressed tables of documents of about `chunk` bytes that
     follow each other, dealt to the blocks in turn."""
     def run(batches):
         options, k = pa.ipc.IpcWriteOptions(compression="zstd"), 0
@@ -257,7 +239,7 @@ def pack(blocks: int):
             part, at = docs.column("part")[0].as_py(), 0
             while at < docs.num_rows:
                 before = sizes[at - 1] if at else 0
-                to = min(docs.num_rows, max(at + 1, int(np.searchsorted(sizes, before + CHUNK))), at + 50_000)
+                to = min(docs.num_rows, max(at + 1, int(np.searchsorted(sizes, before + chunk))), at + 50_000)
                 sink = pa.BufferOutputStream()
                 rows = docs.slice(at, to - at).select(["doc_id", "text"]).combine_chunks()
                 with pa.ipc.new_stream(sink, rows.schema, options=options) as writer:
@@ -467,12 +449,13 @@ def dedup_phrases(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     rows = docs.select(F.spark_partition_id().alias("part"), F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("binary").alias("text"))
     size, n = rows.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0)), F.count("*")).first()
     blocks = max(1, math.ceil(size / block), math.ceil(n / 50_000))
-    buckets = max(1, math.ceil(size / 6 / 8 / BUCKET))
-    packed = rows.mapInArrow(pack(blocks), "block int, payload binary")
+    # about 6 bytes a word: most words may begin a window that has to be confirmed, and one in 8 names windows
+    ranges = [max(1, math.ceil(size / 6 / n / BUCKET)) for n in (8, 1)]
+    packed = rows.mapInArrow(pack(blocks, min(CHUNK, block)), "block int, payload binary")
     packed = packed.repartition(max(int(spark.conf.get("spark.sql.shuffle.partitions")), 1), "block")
-    names = packed.groupBy("block").applyInArrow(candidates_of(buckets), PARTS)
+    names = packed.groupBy("block").applyInArrow(candidates_of(ranges[0]), PARTS)
     names = names.groupBy("bucket").applyInArrow(repeated, "block int, found binary")
-    windows = packed.groupBy("block").cogroup(names.groupBy("block")).applyInArrow(windows_of(buckets), PARTS)
+    windows = packed.groupBy("block").cogroup(names.groupBy("block")).applyInArrow(windows_of(ranges[1]), PARTS)
     owned = windows.groupBy("bucket").applyInArrow(owners, OWNED)
     found = packed.groupBy("block").cogroup(owned.groupBy("block")).applyInArrow(passages, DEALT_PASSAGES)
     found = found.select(F.explode("holders").alias("block"), "words")

@@ -9,6 +9,7 @@ from pathlib import Path
 import duckdb
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import sentencepiece
 import xxhash
@@ -241,6 +242,37 @@ def test_repeated_phrases(spark, mixed_docs, block):
     assert phrases.dedup_phrases(documents(spark, [])).count() == 0
 
 
+def test_only_the_automaton_locates_passages(monkeypatch):
+    rng = random.Random(12)
+    words = [f"w{rng.randint(0, 500)}".encode() for _ in range(200)]
+    text, sink = b" ".join(words), pa.BufferOutputStream()
+    docs = pa.table({"doc_id": pa.array([1, 2], pa.int64()), "text": pa.array([b"x y " + text, b"other words"], pa.binary())})
+    with pa.ipc.new_stream(sink, docs.schema) as w:
+        w.write_table(docs)
+    block = phrases.Block(pa.chunked_array([[sink.getvalue().to_pybytes()]]))
+    passage = b" ".join(words[20:120])
+    assert np.flatnonzero(phrases.covered_words(block, [passage])).tolist() == list(range(22, 122))
+    assert not phrases.covered_words(block, [b" ".join(words[20:50])]).any()  # shorter than a window
+
+    class Empty:
+        add_word = make_automaton = lambda self, *a: None
+        iter = lambda self, text: iter(())
+        __len__ = lambda self: 1
+
+    monkeypatch.setattr(phrases.ahocorasick, "Automaton", Empty)
+    assert not phrases.covered_words(block, [passage]).any()
+
+
+def test_rows_that_repeat_are_dealt_to_many_blocks(spark):
+    rng = random.Random(13)
+    text = " ".join(f"w{rng.randint(0, 900)}" for _ in range(40))
+    rows = [(7, text)] * 3000 + [(8, "b " * 40)]
+    got = Counter((r["doc_id"], r["n_words"], r["n_removed"]) for r in phrases.dedup_phrases(documents(spark, rows), block=4000).collect())
+    assert got == Counter({(7, 40, 40): 3000, (8, 40, 40): 1})
+    packed = documents(spark, rows).select(F.spark_partition_id().alias("part"), "doc_id", F.col("text").cast("binary").alias("text")).repartition(8)
+    assert packed.mapInArrow(phrases.pack(50, 4000), "block int, payload binary").select("block").distinct().count() >= 4
+
+
 # 5, 7: SQL
 
 
@@ -636,6 +668,23 @@ def test_pipeline_stage_by_stage(spark):
     assert all(r["ids"] == library.encode(good[4][r["doc_id"]]) for r in kept[5].limit(50).collect())
 
 
+@pytest.mark.skipif(not DATA.exists(), reason="no tables here")
+@pytest.mark.parametrize("n", [60, 0])
+def test_pipeline_stages_with_nulls_empties_repeats_and_clashing_names(spark, n):
+    import corpus_pipeline as cp
+
+    docs = spark.read.parquet(f"{DATA}/documents.parquet").limit(n)
+    odd = [(None, "a text of no id\nwith two lines", "en", "s", None), (None, None, None, None, None), (5_000_000, "", "en", "s", 0), (5_000_001, None, None, "s", None), (5_000_002, " \n ", "en", "s", 3)]
+    docs = docs.unionByName(spark.createDataFrame(odd if n else [], docs.schema)).unionAll(docs.limit(3))
+    docs = clash(docs.drop("n_tokens")).selectExpr("*", "1 AS rated", "2 AS copies", "3 AS col", "4 AS kept_text", "5 AS rid", "6 AS `row`", "7 AS txt", "8 AS w", "9 AS expected_grade")
+    for _, stage in cp.STAGES[:-1]:
+        out = Workspace(spark, "odd").write(stage(spark, docs, str(DATA)), "out")
+        assert out.columns == docs.columns and dict(out.dtypes) == dict(docs.dtypes) and (out.count() > 0) == (n > 0)
+        assert out.filter("doc_id IS NULL").count() in ((1, 2) if n else (0,))  # the one without a text is a near copy of others without
+        docs = out
+    assert cp.encoded(spark, docs, str(DATA)).count() == docs.count()
+
+
 def test_near_copies_keep_one_row_of_each_group(spark):
     import corpus_pipeline as cp
 
