@@ -19,8 +19,9 @@ def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, with the lines that an earlier one holds taken out of their texts."""
-    kept = line_dedup.dedup_lines(docs).select("row.*", F.col("kept").alias("kept_text"))
-    return kept.withColumns({"text": F.col("kept_text"), "n_chars": F.char_length("kept_text").cast("long")}).select(docs.columns)
+    text = F.col("kept")
+    row = F.col("row").withField("text", text).withField("n_chars", F.char_length(text).cast("long"))
+    return line_dedup.dedup_lines(docs).select(row.alias("row")).select("row.*")
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -38,9 +39,9 @@ def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every document at least once, and those of smaller domains as often as tempered weights ask, by rates of at least 1."""
     rates = mixing.mix(docs, table(spark, sf_dir, "labels"), least=1.0, keep_total=False)
-    rates = rates.groupBy(F.col("doc_id").alias("rated")).agg(F.max("copies").alias("copies"))
-    both = docs.join(rates, F.col("doc_id").eqNullSafe(F.col("rated")))
-    return both.select(*docs.columns, F.explode(F.sequence(F.lit(1), F.greatest(F.lit(1), F.col("copies").cast("int"))))).select(docs.columns)
+    rates = rates.groupBy(F.col("doc_id").alias("rated")).agg(F.max("copies").cast("int").alias("copies"))
+    both = docs.select(F.struct(*docs.columns).alias("row")).join(rates, F.col("row.doc_id").eqNullSafe(F.col("rated")))
+    return both.select("row", F.explode(F.sequence(F.lit(1), F.greatest(F.lit(1), F.col("copies"))))).select("row.*")
 
 
 def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
