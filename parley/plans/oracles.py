@@ -76,10 +76,14 @@ def similarity(a: str, b: str) -> str:
     return f"CASE WHEN len({a}) = 0 OR len({b}) = 0 THEN 0.0 ELSE {shared} / sqrt({square(a)} * {square(b)}) END"
 
 
-SCORED = f"""
-sc0 AS (SELECT *, {toks("input")} AS ta, {toks("output")} AS tb FROM merged),
-sc1 AS (SELECT *, coalesce(avg_score, 0) AS conf, CASE WHEN output_len = 0 THEN 0 ELSE input_len::DOUBLE / output_len END AS rat, {punc("output")} AS pun, {similarity("ta", "tb")} AS sim FROM sc0),
-scored AS (SELECT *, greatest(0, least(1, (0.2 * conf + 1.0 + 1 / (1 + rat) + sim + 0.2 * pun + 0.1 * least(input_len / 50.0, 1) + 0.1 / (1 + exp(-(output_len - 5)::DOUBLE))) / 3.7))::DOUBLE AS quality_score FROM sc1)"""
+def scored(source: str, out: str, diversity: str = "0") -> str:
+    return f"""
+{out}_0 AS (SELECT *, {toks("input")} AS ta, {toks("output")} AS tb FROM {source}),
+{out}_1 AS (SELECT *, coalesce(avg_score, 0) AS conf, CASE WHEN output_len = 0 THEN 0 ELSE input_len::DOUBLE / output_len END AS rat, {punc("output")} AS pun, {similarity("ta", "tb")} AS sim FROM {out}_0),
+{out} AS (SELECT *, greatest(0, least(1, (0.2 * conf + 1.0 + 1 / (1 + rat) + sim + 0.2 * pun + 0.1 * {diversity} + 0.1 * least(input_len / 50.0, 1) + 0.1 / (1 + exp(-(output_len - 5)::DOUBLE))) / 3.7))::DOUBLE AS quality_score FROM {out}_1)"""
+
+
+SCORED = scored("merged", "scored")
 REASON = """CASE WHEN NOT (output_len >= 7 OR (output_len >= 1 AND round(coalesce(avg_score, 0), 9) >= 0.85)) THEN 'length'
      WHEN round(avg_score, 9) < 0.5 THEN 'confidence' WHEN quality_score IS NULL OR round(quality_score, 9) < 0.6 THEN 'quality' END"""
 CHAIN = f"WITH {WORDS}, {pairs()}, {SCORED}"
@@ -137,13 +141,24 @@ def result_columns(a: str, b: str) -> str:
     return f"len({sents(a)})::BIGINT AS input_sentence_count, len({sents(b)})::BIGINT AS output_sentence_count, round({ratio(a)}, 9) AS input_ttr, round({ratio(b)}, 9) AS output_ttr"
 
 
-#: For files of several speakers, as all are at the size at which rows are compared: there is no question-answer branch.
+QNA = f"""solo AS (SELECT w.* FROM words w JOIN own USING (file_id) WHERE own.n = 1 OR own.share > 0.98),
+{SENT.replace("FROM words", "FROM solo")},
+s2 AS (SELECT *, sum(question::INT) OVER (PARTITION BY file_id ORDER BY sentence) AS q FROM sen),
+w5 AS (SELECT a.*, s2.q, s2.question FROM q2 a JOIN s2 USING (file_id, sentence) WHERE s2.q > 0),
+qg AS (SELECT file_id, q, trim(string_agg(text, ' ' ORDER BY gpos) FILTER (WHERE question)) AS input, trim(string_agg(text, ' ' ORDER BY gpos) FILTER (WHERE NOT question)) AS output,
+       avg(score) FILTER (WHERE NOT question) AS avg_score, arg_min(s, gpos) FILTER (WHERE NOT question) AS tstart, arg_max(e, gpos) FILTER (WHERE NOT question) AS tend,
+       count(DISTINCT CASE WHEN NOT question AND speaker <> '{TARGET}' THEN speaker END) AS others FROM w5 GROUP BY file_id, q),
+qp AS (SELECT *, 'qna-' || (row_number() OVER (PARTITION BY file_id ORDER BY q) - 1)::VARCHAR AS seg_idx, {n_words('input')} AS input_len, {n_words('output')} AS output_len FROM qg WHERE output IS NOT NULL),
+{scored("qp", "qscored", "least(1.0, others / 2.0)")},
+qres AS (SELECT *, CASE WHEN trim(input) = '' THEN '[MISSING QUESTION]' ELSE input END AS said FROM qscored WHERE ({REASON}) IS NULL)"""
 FLOW = f"""WITH RECURSIVE {WORDS}, {DIAR}, {cuts('words')}, {relabelled('words', gates())}, {pairs('after')}, {SCORED},
 own AS (SELECT file_id, count_if(speaker = '{TARGET}')::DOUBLE / count(*) AS share, count(DISTINCT speaker) AS n FROM words GROUP BY file_id),
-res AS (SELECT *, CASE WHEN trim(input) = '' THEN '[CONTEXT CONTINUES]' ELSE input END AS said FROM scored WHERE ({REASON}) IS NULL)
-SELECT file_id, seg_idx::VARCHAR AS seg_idx, said AS input, input_len, output, output_len, round(avg_score, 9) AS avg_score, round(tstart, 9) AS tstart, round(tend, 9) AS tend, round(quality_score, 9) AS quality_score,
-       'conversational' AS pair_format, round(share, 9) AS target_speaker_word_ratio, {result_columns('said', 'output')}
-FROM res JOIN own USING (file_id) WHERE n > 1 AND share <= 0.98"""
+res AS (SELECT *, CASE WHEN trim(input) = '' THEN '[CONTEXT CONTINUES]' ELSE input END AS said FROM scored WHERE ({REASON}) IS NULL), {QNA},
+both_ways AS (
+  SELECT r.file_id, r.seg_idx::VARCHAR AS seg_idx, said, input_len, output, output_len, avg_score, tstart, tend, quality_score, 'conversational' AS pair_format, share FROM res r JOIN own o ON o.file_id = r.file_id WHERE o.n > 1 AND share <= 0.98
+  UNION ALL SELECT r.file_id, r.seg_idx, said, input_len, output, output_len, avg_score, tstart, tend, quality_score, 'qna', share FROM qres r JOIN own o ON o.file_id = r.file_id)
+SELECT file_id, seg_idx, said AS input, input_len, output, output_len, round(avg_score, 9) AS avg_score, round(tstart, 9) AS tstart, round(tend, 9) AS tend, round(quality_score, 9) AS quality_score,
+       pair_format, round(share, 9) AS target_speaker_word_ratio, {result_columns('said', 'output')} FROM both_ways"""
 
 SQL = {
     "conversation_flow": FLOW,

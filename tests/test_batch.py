@@ -211,3 +211,15 @@ def test_small_operators(spark):
     assert [r[0] for r in marked.select(wo.clean_token()).collect()] == ["<overlap>a</overlap>", "b"]
     pairs = spark.createDataFrame([("x", "y", "z")], "input string, output string, output_speaker string")
     assert pairs.select(F.lit(1)).count() == 1
+
+
+def test_stream_merges_events_close_in_time(spark, tmp_path):
+    from parley.streaming.merge import merge_stream
+
+    rows = [("2024-01-01 00:00:00", 1, 1.0), ("2024-01-01 05:00:00", 1, 2.0), ("2024-01-01 12:00:00", 1, 4.0), ("2024-01-01 01:00:00", 2, 8.0), ("2024-01-09 00:00:00", 3, 0.0)]
+    spark.createDataFrame(rows, "ts string, user_id long, value double").select(F.col("ts").cast("timestamp").alias("ts"), "user_id", "value").coalesce(1).write.parquet(str(tmp_path / "in"))
+    events = spark.readStream.schema("ts timestamp, user_id long, value double").parquet(str(tmp_path / "in"))
+    query = merge_stream(events).writeStream.format("memory").queryName("merged_events").outputMode("append").trigger(availableNow=True).start()
+    query.awaitTermination()
+    got = sorted((r["user_id"], r["n"], r["total"]) for r in spark.table("merged_events").collect())
+    assert got == [(1, 1, 4.0), (1, 2, 3.0), (2, 1, 8.0)]
