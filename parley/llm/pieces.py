@@ -36,8 +36,8 @@ from .common import Workspace, python_ready, span_hashes, spans, table
 SPACE = "▁"
 WORD = re.compile(f"{SPACE}+[^{SPACE}]*|[^{SPACE}]+")
 CHUNK, GIANT = 16_384, 32_768
-CACHED, FITS, LONGEST_CACHED = 200_000, 600_000, 48
-SLOTS, FILLED, POOL, TOGETHER = 1 << 21, 1_300_000, 8_000_000, 1 << 20
+CACHED, FITS, LONGEST_CACHED = 100_000, 400_000, 48
+SLOTS, FILLED, POOL, TOGETHER = 1 << 20, 650_000, 4_000_000, 1 << 20
 FAN, CHAR = 16, 1 << 20
 NO = -np.inf
 CLOSING = {*".,;:!?"}
@@ -497,11 +497,25 @@ def as_lists(blobs: list[bytes]) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.frombuffer(b"".join(blobs), np.int32)))
 
 
-def encode_udf(path: str):
-    @F.arrow_udf(T.ArrayType(T.IntegerType()))
+def decoded_texts(m: Model, flat: np.ndarray, sizes: list[int]) -> pa.Array:
+    """Row by row: few numbers are Python objects at a time."""
+    texts, at = [], 0
+    for n in sizes:
+        texts.append(m.decode(flat[at : at + n].tolist()))
+        at += n
+    return pa.array(texts, pa.string())
+
+
+def encode_udf(path: str, decoded: bool):
+    """Identifiers and, if asked for, the texts that they decode to: one worker does both."""
+
+    @F.arrow_udf(T.StructType([T.StructField("ids", T.ArrayType(T.IntegerType())), T.StructField("decoded", T.StringType())]))
     def encoded(texts: pa.Array) -> pa.Array:
-        flat, sizes = model(path).encode_all(texts.to_pylist())
-        return pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)), pa.array(flat))
+        m = model(path)
+        flat, sizes = m.encode_all(texts.to_pylist())
+        ids = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)), pa.array(flat))
+        back = decoded_texts(m, flat, sizes.tolist()) if decoded else pa.nulls(len(sizes), pa.string())
+        return pa.StructArray.from_arrays([ids, back], ["ids", "decoded"])
 
     return encoded
 
@@ -509,12 +523,7 @@ def encode_udf(path: str):
 def decode_udf(path: str):
     @F.arrow_udf(T.StringType())
     def decoded(ids: pa.Array) -> pa.Array:
-        m, flat, at = model(path), ids.flatten().to_numpy(), 0
-        texts = []
-        for n in ids.value_lengths().fill_null(0).to_pylist():  # row by row: few numbers are Python objects at a time
-            texts.append(m.decode(flat[at : at + n].tolist()))
-            at += n
-        return pa.array(texts, pa.string())
+        return decoded_texts(model(path), ids.flatten().to_numpy(), ids.value_lengths().fill_null(0).to_pylist())
 
     return decoded
 
@@ -602,8 +611,9 @@ def trace_udf(path: str):
     return traced
 
 
-def encode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text", chunk: int = CHUNK, giant: int = GIANT) -> DataFrame:
-    """`doc_id, ids`, one row per row of `docs`; the same identifiers as the library gives, without begin and end.
+def encode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text", chunk: int = CHUNK, giant: int = GIANT, decoded: bool = False) -> DataFrame:
+    """`doc_id, ids`, one row per row of `docs`; the same identifiers as the library gives, without begin and end. With
+    `decoded` also that column, as decode() adds it.
 
     The model file must lie at `path` on every machine. Null and empty texts give no identifiers. Ids may be null or
     repeated; other columns are not read. An empty table gives an empty result. Texts of over `giant` code points are
@@ -614,7 +624,8 @@ def encode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "
     python_ready(spark)
     work = Workspace(spark, "pieces")
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(text_col, F.lit("")).alias("text"))
-    short = rows.filter(F.char_length("text") <= giant).select("doc_id", encode_udf(path)("text").alias("ids"))
+    wanted = ["ids", "decoded"] if decoded else ["ids"]
+    short = rows.filter(F.char_length("text") <= giant).select("doc_id", encode_udf(path, decoded)("text").alias("x")).select("doc_id", *[f"x.{c}" for c in wanted])
     names = CUT.split(" ")
     schema = ", ".join(f"{a} {b}" for a, b in zip(names[::2], names[1::2], strict=True))
     parts = work.write(rows.filter(F.char_length("text") > giant).mapInArrow(cut_giants(path, chunk), schema), "chunks")
@@ -622,7 +633,8 @@ def encode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "
     borders = border_states(work, sums)
     traced = parts.join(borders, ["uid", "k"]).select("uid", "doc_id", "k", trace_udf(path)("part", "start", "end", "way", "exit").alias("ids"))
     long = traced.groupBy("uid").agg(F.first("doc_id").alias("doc_id"), F.array_sort(F.collect_list(F.struct("k", "ids"))).alias("all"))
-    return short.unionAll(long.select("doc_id", F.flatten("all.ids")))
+    long = long.select("doc_id", F.flatten("all.ids").alias("ids"))
+    return short.unionAll(decode(long, path) if decoded else long)
 
 
 def decode(encoded: DataFrame, path: str) -> DataFrame:
@@ -633,6 +645,6 @@ def decode(encoded: DataFrame, path: str) -> DataFrame:
 
 def op3_sentencepiece(spark, sf_dir):
     path = public_tokenizers.path("piece_bpe_32k.model")
-    both = decode(encode(table(spark, sf_dir, "documents"), path), path)
+    both = encode(table(spark, sf_dir, "documents"), path, decoded=True)
     digest = F.sha2(F.col("decoded").cast("binary"), 256)
     return both.select("doc_id", F.size("ids").cast("long").alias("n_pieces"), "ids", digest.alias("decoded_sha256"))
