@@ -61,18 +61,20 @@ def cosine(a, b) -> Column:
     return F.try_divide(dot(a, b), norm(a) * norm(b))
 
 
-def token_cosine(a, b) -> Column:
-    """Cosine of token counts: a stand-in for sentence embeddings, which are not available here. 0 if a text is empty."""
-    ta, tb = tokens(a), tokens(b)
+def counts_cosine(ta: Column, tb: Column) -> Column:
+    """Cosine of the counts of two arrays of tokens, 0 if one is empty. They should be columns: what stands in a lambda is
+    evaluated for each token."""
 
     def length(t):
         return F.aggregate(F.array_distinct(t), F.lit(0.0), lambda s, w: s + F.pow(F.size(F.filter(t, lambda x: x == w)).cast("double"), F.lit(2.0)))
 
-    def shared():
-        both = F.array_intersect(ta, tb)
-        return F.aggregate(both, F.lit(0.0), lambda s, w: s + F.size(F.filter(ta, lambda x: x == w)) * F.size(F.filter(tb, lambda x: x == w)))
+    shared = F.aggregate(F.array_intersect(ta, tb), F.lit(0.0), lambda s, w: s + F.size(F.filter(ta, lambda x: x == w)) * F.size(F.filter(tb, lambda x: x == w)))
+    return F.when((F.size(ta) == 0) | (F.size(tb) == 0), 0.0).otherwise(shared / F.sqrt(length(ta) * length(tb)))
+
 
-    return F.when((F.size(ta) == 0) | (F.size(tb) == 0), 0.0).otherwise(shared() / F.sqrt(length(ta) * length(tb)))
+def token_cosine(a, b) -> Column:
+    """Cosine of token counts: a stand-in for sentence embeddings, which are not available here. 0 if a text is empty."""
+    return counts_cosine(tokens(a), tokens(b))
 
 
 def clock(seconds) -> Column:

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..config import PairConfig, Weights
-from ..functions.scalar import punctuation_share, sentence_count, token_cosine, token_ratio
+from ..functions.scalar import counts_cosine, punctuation_share, sentence_count, token_cosine, token_ratio, tokens
 
 METRICS = ("avg_conf", "overlap_rate", "input_len", "output_len", "ratio", "ratio_score", "punc_score", "diversity_score", "semantic_similarity")
 
@@ -23,7 +23,11 @@ def score(pairs: DataFrame, weights: Weights = Weights(), similarity=token_cosin
     others = F.expr(f"size(array_distinct(transform(filter({words}, w -> w.speaker <> output_speaker), w -> w.speaker)))") if has else F.lit(0)
     rate = F.col("overlap_rate") if "overlap_rate" in pairs.columns else F.lit(0.0)
     p = pairs.withColumns({"m_conf": F.coalesce(mean, F.col("avg_score"), F.lit(0.0)), "m_rate": rate, "m_ratio": F.coalesce(F.try_divide(n_in, n_out), F.lit(0.0))})
-    p = p.withColumns({"m_rs": 1 / (1 + F.col("m_ratio")), "m_punc": punctuation_share("output"), "m_div": F.least(F.lit(1.0), others / 2.0), "m_sim": similarity("input", "output")})
+    sim = similarity("input", "output")
+    if similarity is token_cosine:  # tokens are columns first, made once
+        p = p.withColumns({"m_in": tokens("input"), "m_out": tokens("output")})
+        sim = counts_cosine(F.col("m_in"), F.col("m_out"))
+    p = p.withColumns({"m_rs": 1 / (1 + F.col("m_ratio")), "m_punc": punctuation_share("output"), "m_div": F.least(F.lit(1.0), others / 2.0), "m_sim": sim})
     w = weights
     parts = [
         (w.avg_conf, F.col("m_conf")), (w.overlap, 1 - F.col("m_rate")), (w.ratio, F.col("m_rs")), (w.similarity, F.col("m_sim")), (w.punc, F.col("m_punc")), (w.diversity, F.col("m_div")),
@@ -32,7 +36,7 @@ def score(pairs: DataFrame, weights: Weights = Weights(), similarity=token_cosin
     total = sum(x for x, _ in parts)
     q = clamp(sum((F.lit(x) * c for x, c in parts), F.lit(0.0)) / total) if total else F.lit(0.0)
     metrics = F.struct(F.col("m_conf").alias("avg_conf"), F.col("m_rate").alias("overlap_rate"), n_in.alias("input_len"), n_out.alias("output_len"), F.col("m_ratio").alias("ratio"), F.col("m_rs").alias("ratio_score"), F.col("m_punc").alias("punc_score"), F.col("m_div").alias("diversity_score"), F.col("m_sim").alias("semantic_similarity"))
-    return p.withColumns({"quality_score": q, "quality_metrics": metrics}).drop("m_conf", "m_rate", "m_ratio", "m_rs", "m_punc", "m_div", "m_sim")
+    return p.withColumns({"quality_score": q, "quality_metrics": metrics}).drop("m_conf", "m_rate", "m_ratio", "m_rs", "m_punc", "m_div", "m_sim", "m_in", "m_out")
 
 
 def legacy_score(pairs: DataFrame, words: DataFrame, target: str) -> DataFrame:

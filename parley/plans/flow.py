@@ -78,10 +78,10 @@ def conversations(words: DataFrame, diar: DataFrame, target: str, cfg: PairConfi
     merged = kept(stages, merge.merge_replies(raw, cfg.merge_gap), "merged")
     meta = scoring.score(with_overlap(merged, diar, target, cfg), cfg.weights, similarity)
     clean = meta.withColumn("avg_score", F.expr(MEAN_SCORE))
-    good = gates.postfilter(clean, cfg)
+    good = gates.postfilter(clean, cfg).withColumn("alike", F.col("quality_metrics.semantic_similarity"))
     if not cfg.carry_meta:
         good = good.drop("words", "num_context_turns", "is_first_utterance", "quality_metrics", "overlap_rate", "n_merged")
-    again = scoring.score(good, cfg.weights, similarity, None)
+    again = scoring.score(good, cfg.weights, lambda a, b: F.col("alike"), None).drop("alike")  # the texts are the same
     return Conversations(raw, merged, meta, clean, scoring.result_columns(scoring.placeholders(again), "conversational"))
 
 
