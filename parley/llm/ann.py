@@ -23,7 +23,7 @@ from .common import Workspace, table
 from .neighbours import NONE, Graph, arrow2, block_of, codes_of, matrix, usable
 
 K, ROUNDS, TOP = 48, 4, 20
-HOPS, BEAM, POOL, AGAIN = 100, 48, 256, 160
+HOPS, BEAM, POOL, AGAIN = 100, 96, 256, 160
 FEW, DOORS, PART = 1 << 14, 1024, 4096
 POOLS = "block int, q long, id long, score float, open boolean"
 REQUESTS = "block int, id long, q long, code binary"
