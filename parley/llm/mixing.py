@@ -23,7 +23,7 @@ from .common import Workspace, ascii_lower, table
 BUCKETS, SAMPLE, DOMAINS = 4096, 16_384, 64
 #: An iteration ends the fit if all totals are this close to the targets, or if STALL of them have not lowered the sum of
 #: squares by that share: the targets can't be met then, as with too few documents of a domain.
-STEPS, FOLD, CLOSE, STALL, LOWER = 200, 8, 1e-4, 10, 1e-4
+STEPS, FOLD, CLOSE, STALL, LOWER = 200, 8, 1e-4, 5, 1e-2
 POWER = 0.7
 SCALE = 1024
 
